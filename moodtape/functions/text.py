@@ -45,11 +45,21 @@ def clean_text(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Colum
     the two.  The whole text is cleaned before the cut; ``None`` keeps all of it.
     """
     t = F.coalesce(as_col(c), F.lit(""))
-    t = F.regexp_replace(t, URL_PATTERN, "")
+    maybe_url = F.contains(t, F.lit("http")) | F.contains(t, F.lit("www."))
+    t = F.when(maybe_url, F.regexp_replace(t, URL_PATTERN, "")).otherwise(t)
     t = F.trim(F.regexp_replace(t, DROPPED_PATTERN, " "))
     return t if max_chars is None else F.substring(t, 1, max_chars)
 
 
+def clean_text_rows(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Column:
+    """The cleaned text as a generator that gives no row where nothing is left.
+
+    A filter on the cleaned column would be pushed below it and clean every text
+    a second time.
+    """
+    return F.explode(F.filter(F.array(clean_text(c, max_chars)), lambda t: t != ""))
+
+
 def full_text(title: ColumnLike, summary: ColumnLike) -> Column:
     """Title and summary in one string, outer blanks removed."""
     parts = [F.coalesce(as_col(c), F.lit("")) for c in (title, summary)]

@@ -78,7 +78,11 @@ def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, in
     fields = matched.withColumns(
         {
             "published_at": first_date(published, ingest_ts),
-            "author": F.coalesce(F.col("author"), F.substring("feed_title", 1, FEED_NAME_CHARS)),
+            "author": F.coalesce(
+                F.col("author"),
+                F.substring("feed_title", 1, FEED_NAME_CHARS),
+                F.element_at(F.split("file", "/"), -1),
+            ),
         }
     )
     return _records(fields, FEED_SOURCE, run_date)

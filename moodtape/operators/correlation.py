@@ -86,16 +86,15 @@ def optimal_lag(correlations: DataFrame, lags: Sequence[int] = LAGS) -> DataFram
     Lags are tried in order and only a strictly larger value wins, so a tie goes
     to the shorter lag; with no correlation at all the answer is lag 0, value 0.
     """
-    tried = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"corr_lag_{k}d").alias("r")) for k in lags])
-    usable = F.filter(tried, lambda t: t["r"].isNotNull() & ~F.isnan(t["r"]))
-    start = F.struct(F.lit(0).alias("lag"), F.lit(0.0).alias("r"))
-    best = F.aggregate(usable, start, lambda a, t: F.when(F.abs(t["r"]) > F.abs(a["r"]), t).otherwise(a))
-    return (
-        correlations.withColumn("_best", best)
-        .withColumn("optimal_lag_days", F.col("_best.lag"))
-        .withColumn("optimal_lag_corr", round_half_up("_best.r", 6))
-        .drop("_best")
+    tried = ", ".join(f"struct({k} AS lag, corr_lag_{k}d AS r)" for k in lags)
+    best = F.expr(
+        f"""aggregate(filter(array({tried}), t -> t.r IS NOT NULL AND NOT isnan(t.r)),
+                      struct(0 AS lag, 0.0D AS r),
+                      (a, t) -> if(abs(t.r) > abs(a.r), t, a))"""
     )
+    return correlations.withColumn("_best", best).select(
+        "*", F.col("_best.lag").alias("optimal_lag_days"), round_half_up("_best.r", 6).alias("optimal_lag_corr")
+    ).drop("_best")
 
 
 def correlation_rows(daily: DataFrame, prices: DataFrame, run_date: str, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:

@@ -1,15 +1,19 @@
 """Which tickers does a text mention?  Whole-word keyword search as an equi-join.
 
-Text and keyword are both cut into alternating runs of word and non-word
-characters.  A keyword occurs as a whole word exactly when its runs appear as
-consecutive runs of the text, so the search is a lookup of short run sequences
-("grams") in the keyword table: no regular expression per keyword and no pairing
-of every text with every keyword.  ``M&M`` or ``BAJAJ-AUTO`` need no special case.
+A handful of keywords are plain conditions on the text.  For more, text and
+keyword are both cut into alternating runs of word and non-word characters.  A
+keyword occurs as a whole word exactly when its runs appear as consecutive runs
+of the text, so the search is a lookup of short run sequences ("grams") in the
+keyword table: no regular expression per keyword and no pairing of every text
+with every keyword.  ``M&M`` or ``BAJAJ-AUTO`` need no special case.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +21,10 @@ from pyspark.sql import functions as F
 from moodtape.functions.numeric import ColumnLike, as_col
 from moodtape.functions.text import WORD
 
-# Up to this many keywords are looked up inside the row; more go through a join.
-INLINE_KEYWORDS = 1000
+# Up to so many keywords are tested one by one; up to so many are looked up
+# inside the row; more go through a join.
+TESTED_KEYWORDS = 64
+INLINE_KEYWORDS = 5000
 # Copies of the keyword table in that join, to split grams that most texts hold.
 SALTS = 16
 
@@ -44,7 +50,8 @@ def _grams(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
     offset = F.when(text.rlike(_WORD_START), 0).otherwise(1)
 
     def joined(runs: Column, n: int) -> Callable[[Column], Column]:
-        return lambda start: F.array_join(F.slice(runs, start, n), "")
+        # Not slice(): it copies the whole array for every gram.
+        return lambda start: F.concat(*[runs[start + (j - 1)] for j in range(n)])
 
     def longer(runs: Column) -> Column:
         parts = []
@@ -62,6 +69,13 @@ def _grams(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
     return F.array_distinct(F.concat(*single, *rest))
 
 
+def _mentions(text: Column, keyword: str) -> Column:
+    """Does the whole word occur?  The cheap substring test spares most texts the expression."""
+    before = rf"(?<![{WORD}])" if re.match(r"\w", keyword) else rf"(?<=[{WORD}])"
+    after = rf"(?![{WORD}])" if re.search(r"\w$", keyword) else rf"(?=[{WORD}])"
+    return F.contains(text, F.lit(keyword)) & text.rlike(before + re.escape(keyword) + after)
+
+
 def _prepared(keywords: DataFrame) -> DataFrame:
     key = F.upper("keyword")
     return (
@@ -78,8 +92,8 @@ def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_tex
     """One row per (input row, mentioned ticker); rows without a mention are dropped.
 
     ``keywords`` has (ticker, keyword) rows.  Its size is checked: up to
-    ``INLINE_KEYWORDS`` are fetched and searched inside the row without any
-    shuffle.  A larger table is joined on the gram, and ``key`` must then name a
+    ``INLINE_KEYWORDS`` are fetched and searched inside the row, in one of two
+    ways, without any shuffle.  A larger table is joined on the gram, and ``key`` must then name a
     unique column of ``df``.  Only ``key`` and the grams go through that join;
     the keyword side is copied ``SALTS`` times and the text side spread over the
     copies, so a gram found in most texts is split over many tasks.
@@ -91,6 +105,17 @@ def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_tex
         return df.withColumn("ticker", F.lit(None).cast("string")).filter(F.lit(False))
     upper = F.upper(F.coalesce(text, F.lit("")))
 
+    if len(known) <= TESTED_KEYWORDS:
+        by_ticker: dict[str, list[str]] = {}
+        for r in sorted(known, key=lambda r: (r["ticker"], r["gram"])):
+            by_ticker.setdefault(r["ticker"], []).append(r["gram"])
+        tests = [
+            F.when(reduce(or_, [_mentions(F.col("_upper"), g) for g in grams]), F.lit(ticker))
+            for ticker, grams in by_ticker.items()
+        ]
+        marked = df.withColumn("_upper", upper)
+        return marked.withColumn("ticker", F.explode(F.array_compact(F.array(*tests)))).drop("_upper")
+
     if len(known) <= INLINE_KEYWORDS:
         shapes = sorted({(r["n"], r["word_first"], r["word_last"]) for r in known})
         by_gram: dict[str, list[str]] = {}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodtape.functions.numeric import ColumnLike, as_col, round_half_up, softmax
-from moodtape.functions.text import MIN_SCORED_TEXT, WORD, clean_text
+from moodtape.functions.text import MIN_SCORED_TEXT, WORD, clean_text_rows
 
 log = logging.getLogger(__name__)
 
@@ -73,7 +73,8 @@ def _weight_in(tokens: Column, words: dict[str, float]) -> Column:
 def lexicon_probabilities(df: DataFrame, text: ColumnLike, lexicon: Lexicon = MARKET_LEXICON) -> DataFrame:
     """Probabilities from weighted word counts over the whole text, row by row in the JVM."""
     tokens = F.regexp_extract_all(F.lower(as_col(text)), F.lit(rf"([{WORD}]+)"), 1)
-    weighed = df.withColumn("_tokens", tokens).withColumns(
+    known = [*lexicon.positive, *lexicon.negative]
+    weighed = df.withColumn("_tokens", F.filter(tokens, lambda t: t.isin(known))).withColumns(
         {"_pos": _weight_in(F.col("_tokens"), lexicon.positive), "_neg": _weight_in(F.col("_tokens"), lexicon.negative)}
     )
     hits = F.col("_pos") + F.col("_neg") + 1.0
@@ -149,8 +150,8 @@ def score_articles(
         "source",
         "upvotes",
         F.col("collected_date").alias("scored_date"),
-        clean_text("raw_text", **limit).alias("_text"),
-    ).filter("_text <> ''")
+        clean_text_rows("raw_text", **limit).alias("_text"),
+    )
     found = (
         batch_probabilities(todo, "_text", load_scorer) if load_scorer else lexicon_probabilities(todo, "_text", lexicon)
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from moodtape.dimensions import keywords_or_ticker, tracked, trading_rows, vendor_symbol
 from moodtape.functions.numeric import round_half_up
-from moodtape.functions.text import clean_html, clean_text
+from moodtape.functions.text import clean_html, clean_text, clean_text_rows
 from moodtape.operators import articles, bars, correlation, daily, dedup, matching, quality, scoring
 from moodtape.plans import views
 from moodtape.session import work_path
@@ -256,7 +256,7 @@ def _ranked_raw(spark, d) -> DataFrame:
 
 def upsert_ignore(spark, d):
     """Half a month stored, then the whole month inserted over it, duplicates and all."""
-    tables = Tables(spark, work_path(spark, "ignore")).create()
+    tables = Tables(spark, work_path(spark, "ignore")).create("raw_sentiment")
     rows = _ranked_raw(spark, d)
     first = [F.col("url").cast("bigint")]
     tables.insert("raw_sentiment", rows.filter(F.col("collected_date") <= F.to_date(F.lit(SPLIT_DAY))), first)
@@ -266,7 +266,7 @@ def upsert_ignore(spark, d):
 
 def upsert_replace(spark, d):
     """Daily sentiment stored, then the second half recomputed from one source and replaced."""
-    tables = Tables(spark, work_path(spark, "replace")).create()
+    tables = Tables(spark, work_path(spark, "replace")).create("daily_sentiment")
     tables.append("daily_sentiment", star.daily(spark, d))
     late = star.scored_articles(spark, d).filter(
         (F.col("scored_date") > F.to_date(F.lit(SPLIT_DAY))) & (F.col("source") == "news")
@@ -307,12 +307,12 @@ def clean_texts(spark, d):
 
 
 def html_text(spark, d):
-    return star.table(spark, d, "pages").select("page_id", clean_html("html").alias("text"))
+    return star.pages(spark, d).select("page_id", clean_html("html").alias("text"))
 
 
 def lexicon_scores(spark, d):
-    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text("raw_text", None).alias("text"))
-    found = scoring.lexicon_probabilities(docs.filter("text <> ''"), "text", DOCUMENT_LEXICON)
+    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text", None).alias("text"))
+    found = scoring.lexicon_probabilities(docs, "text", DOCUMENT_LEXICON)
     return scoring.scores(found).drop("text")
 
 
@@ -338,8 +338,8 @@ def count_words():
 
 
 def batch_scoring(spark, d):
-    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text("raw_text", None).alias("text"))
-    found = scoring.batch_probabilities(docs.filter("text <> ''"), "text", count_words)
+    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text", None).alias("text"))
+    found = scoring.batch_probabilities(docs, "text", count_words)
     return scoring.scores(found).drop("text")
 
 
@@ -419,8 +419,7 @@ def feed_xml(spark, d):
 
 
 def _event_stream(spark, d) -> DataFrame:
-    schema = star.table(spark, d, "events").schema
-    events = streams.landed(spark, d, schema, "parquet", pathGlobFilter="events.parquet")
+    events = streams.landed(spark, d, star.SCHEMAS["events"], "parquet", pathGlobFilter="events.parquet")
     return events.withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
@@ -439,7 +438,7 @@ def stream_daily_window(spark, d):
 
 def stream_upsert(spark, d):
     """Changed days replaced in the table batch by batch, the open ones included."""
-    tables = Tables(spark, work_path(spark, "upsert")).create()
+    tables = Tables(spark, work_path(spark, "upsert")).create("daily_sentiment")
     streams.run_available(
         streams.daily_windows(_scored_stream(spark, d), "event_time"),
         work_path(spark, "check"),
@@ -459,7 +458,7 @@ def stream_dedup(spark, d):
 
 def stream_ingest(spark, d):
     """Events inserted into the article table as they land, each key once."""
-    tables = Tables(spark, work_path(spark, "ingest")).create()
+    tables = Tables(spark, work_path(spark, "ingest")).create("raw_sentiment")
     rows = star.from_events(_event_stream(spark, d))
     rows = rows.withColumn("url", F.col("id").cast("string")).drop("id")
     first = [F.col("url").cast("bigint")]

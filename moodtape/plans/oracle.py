@@ -225,8 +225,11 @@ def unescaped(text: str) -> str:
 DOCUMENTS = f"""select doc_id, text, date '{star.FIRST_DAY}' + (doc_id % {star.DAYS})::int collected_date,
     {cleaned('text')} clean from documents"""
 KEYWORDS = "select * from (values " + ", ".join(f"({quote(t)}, {quote(k)})" for t, k in star.KEYWORDS) + ") k(ticker, keyword)"
-MATCHES = rf"""select distinct doc_id, ticker from documents join keywords on regexp_matches(upper(text),
-    '(^|[^{WORD}])\Q' || upper(keyword) || '\E([^{WORD}]|$)')"""
+MATCHES = " union ".join(
+    f"""select doc_id, {quote(t)} ticker from documents
+    where regexp_matches(upper(text), {quote(f"(^|[^{WORD}])" + chr(92) + "Q" + k.upper() + chr(92) + "E([^" + WORD + "]|$)")})"""
+    for t, k in star.KEYWORDS
+)
 
 
 def lexicon_sql(source: str, columns: str) -> str:
@@ -369,9 +372,9 @@ ORACLE: dict[str, str] = {
     ),
     "mention_counts_zero_filled": query(
         """select ticker, coalesce(n, 0) n from tickers left join (select ticker, count(*) n from matches group by 1) using (ticker)""",
-        "tickers", keywords=KEYWORDS, matches=MATCHES,
+        "tickers", matches=MATCHES,
     ),
-    "busiest_tickers": query("select ticker, count(*) n from matches group by 1", keywords=KEYWORDS, matches=MATCHES),
+    "busiest_tickers": query("select ticker, count(*) n from matches group by 1", matches=MATCHES),
     "source_totals": query("select collected_date, source, count(*) n from raw group by 1, 2", "raw"),
     "quality_collection": query(COLLECTION, "prices", "raw", days=CALENDAR, price_m=MEASURES["price_m"], raw_m=MEASURES["raw_m"]),
     "quality_scoring": query(
@@ -414,7 +417,7 @@ ORACLE: dict[str, str] = {
         where date >= date '2024-01-10' and total_mentions >= 3""",
         "joined",
     ),
-    "keyword_match": query("select * from matches", keywords=KEYWORDS, matches=MATCHES),
+    "keyword_match": query("select * from matches", matches=MATCHES),
     "keyword_defaults": query(
         "select distinct ticker, upper(coalesce(keyword, ticker)) keyword from tickers left join keywords using (ticker)",
         "tickers", keywords=KEYWORDS,

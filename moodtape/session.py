@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "moodtape", master: str | None = None, **conf: str) -> SparkSession:
@@ -24,6 +24,8 @@ def build_session(app: str = "moodtape", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Recording the Python call site of every column costs more than planning the queries.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
@@ -51,6 +53,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when a small input sits in fewer file splits than there are cores.
+
+    For a plain scan that heavy per-row work follows.  A large input has splits
+    enough and is left where it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder for one run's intermediate table."""
     return f"{shared_dir(spark)}/moodtape/{label}-{uuid.uuid4().hex}"

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from moodtape.functions.numeric import round_half_up
 from moodtape.operators.bars import price_rows
 from moodtape.operators.daily import daily_sentiment
+from moodtape.session import spread
 
 FIRST_DAY = "2024-01-01"
 DAYS = 30
@@ -32,8 +33,21 @@ KEYWORDS = [
 ]
 
 
+# Given schemas spare a job per table that would only read file footers.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def tickers(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,9 +154,13 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
     return daily_sentiment(scored_articles(spark, folder))
 
 
+def pages(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "pages").select("page_id", "html"))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as articles collected over a month."""
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("raw_text"),

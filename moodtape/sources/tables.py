@@ -57,14 +57,15 @@ class Tables:
 
     # --- set-up and reading ----------------------------------------------------
 
-    def create(self) -> "Tables":
-        """Create missing tables and add the missing instruments.  Safe to repeat."""
-        for table in TABLES.values():
+    def create(self, *names: str) -> "Tables":
+        """Create missing tables (all, or those named) and add missing instruments.  Safe to repeat."""
+        for table in [TABLES[n] for n in names or TABLES]:
             empty = self.spark.createDataFrame([], table.schema)
             writer = empty.write.mode("ignore")
             (writer.partitionBy(table.day) if table.day else writer).parquet(self.path(table.name))
-        self.insert("tickers", seed_tickers(self.spark))
-        return self.register()
+        if "tickers" in (names or TABLES):
+            self.insert("tickers", seed_tickers(self.spark))
+        return self
 
     def read(self, name: str) -> DataFrame:
         table = TABLES[name]

@@ -20,7 +20,7 @@ from moodtape.sources.tables import Tables
 SALTS = 16
 
 
-def landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", **options) -> DataFrame:
+def landed(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", **options) -> DataFrame:
     """A stream over the files that land in a folder."""
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
