@@ -6,11 +6,13 @@ three ways to write are append, insert-or-ignore and replace-by-key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from moodtape.dimensions import seed_tickers
 from moodtape.operators.dedup import new_rows, replaced
@@ -21,28 +23,35 @@ from moodtape.session import work_path
 
 def aligned(df: DataFrame, table: Table) -> DataFrame:
     """Columns matched by name, defaults filled in, types cast, missing values refused."""
-    plain = df.select(*[c for c in df.columns if c in table.schema.names])
-    filled = plain
-    for name, default in table.defaults.items():
-        given = F.coalesce(F.col(name), F.expr(default)) if name in plain.columns else F.expr(default)
-        if name in plain.columns or _columns_known(default, plain):
-            filled = filled.withColumn(name, given)
-    out: list[Column] = []
-    for f in table.schema.fields:
-        value = (F.col(f.name) if f.name in filled.columns else F.lit(None)).cast(f.dataType)
-        if not f.nullable:
-            refuse = F.raise_error(F.lit(f"NULL in {table.name}.{f.name}")).cast(f.dataType)
-            value = F.coalesce(value, refuse)
-        out.append(value.alias(f.name))
-    return filled.select(*out)
-
-
-def _columns_known(expression: str, df: DataFrame) -> bool:
-    try:
-        df.select(F.expr(expression)).schema
-        return True
-    except Exception:
-        return False
+    given = df.select(
+        *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+    )
+    filled = given.withColumns({c: F.coalesce(F.col(c), F.expr(default)) for c, default in table.defaults.items()})
+
+    def present(f: T.StructField) -> Column:
+        if f.nullable:
+            return F.col(f.name).cast(f.dataType)
+        refuse = F.raise_error(F.lit(f"NULL in {table.name}.{f.name}"))
+        return F.coalesce(F.col(f.name).cast(f.dataType), refuse.cast(f.dataType)).alias(f.name)
+
+    return filled.select(*[present(f) for f in table.schema.fields])
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and a function that tells after its write how many rows went through.
+
+    Placed in the last stage, where a repeated task is not counted twice.
+    """
+    seen = Observation()
+
+    def rows() -> int:
+        try:
+            return int(seen.get["n"])
+        except Py4JJavaError:
+            # A plan found to be empty runs no task, so there is no count to fetch.
+            return 0
+
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), rows
 
 
 class Tables:
@@ -96,15 +105,12 @@ class Tables:
         The rebalance hint makes files of a sensible size per day and splits a
         day that holds much of the data.
         """
-        seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-        if table.day:
-            writer = counted.hint("rebalance", table.day).write.partitionBy(table.day)
-        else:
-            writer = counted.write
+        even = df.hint("rebalance", table.day) if table.day else df
+        counted, seen = _counted(even)
+        writer = counted.write.partitionBy(table.day) if table.day else counted.write
         writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(self.path(table.name))
         self.spark.catalog.refreshByPath(self.path(table.name))
-        return int(seen.get["n"])
+        return seen()
 
     def append(self, name: str, df: DataFrame) -> int:
         table = TABLES[name]
@@ -145,8 +151,8 @@ class Tables:
         if table.day and table.day not in keys:
             raise ValueError(f"the keys for {name} must include its day column {table.day}")
         staged_path = work_path(self.spark, f"replace-{name}")
-        seen = Observation()
-        aligned(df, table).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(staged_path)
+        counted, seen = _counted(aligned(df, table))
+        counted.write.parquet(staged_path)
         incoming = self.spark.read.schema(table.schema).parquet(staged_path)
         stored = self.read(name)
         if table.day:
@@ -157,7 +163,7 @@ class Tables:
             result.write.parquet(whole)
             result = self.spark.read.schema(table.schema).parquet(whole)
         self._write(result, table, "overwrite")
-        return int(seen.get["n"])
+        return seen()
 
     def ready(self) -> bool:
         """Is the instrument dimension set up?"""
