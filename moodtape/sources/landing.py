@@ -100,4 +100,6 @@ def write_article_records(records: DataFrame, path: str, run_date: str | None =
     """Land article records as JSON lines, one folder per collection date."""
     day = F.col("collected_date") if run_date is None else F.to_date(F.lit(run_date))
     out = records.withColumn("run_date", day).hint("rebalance", "run_date")
-    out.write.mode("append").partitionBy("run_date").option("ignoreNullFields", False).json(path)
+    # The default format would cut timestamps to milliseconds.
+    options = {"ignoreNullFields": False, "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    out.write.mode("append").partitionBy("run_date").options(**options).json(path)
