@@ -83,7 +83,7 @@ _MARKUP = (
     r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
     r"|<!--.*?(?:-->|\z)"
     r"|<[!?][^>]*>"
-    r"""|</?[a-z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
+    r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+>"""
 )
 _REFERENCE_OR_TEXT = (
     r"(&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][-.a-zA-Z0-9]*;?|[^&]+|&)"

@@ -32,10 +32,22 @@ def first_per_full_key(df: DataFrame, keys: Sequence[str], order: Sequence[Colum
     return first_per_key(own, [*keys, "_own"], order).drop("_own")
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet, the first of each key (insert-or-ignore)."""
+def not_stored(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Incoming rows whose key is not stored yet.
+
+    The stored keys are first cut down to those that come in again.  The history
+    is then the streamed side of a semi-join against one run's keys, which needs
+    no shuffle of the history as long as these keys are small enough for Spark to
+    broadcast by their measured size, and one shuffle of bare keys otherwise.
+    """
     keys = list(keys)
-    return first_per_full_key(incoming, keys, order).join(existing.select(*keys), keys, "left_anti")
+    again = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return incoming.join(again, keys, "left_anti")
+
+
+def new_rows(incoming: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """The first incoming row of each key that is not stored yet (insert-or-ignore)."""
+    return not_stored(first_per_full_key(incoming, keys, order), existing, keys)
 
 
 def replaced(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

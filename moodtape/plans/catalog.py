@@ -11,7 +11,7 @@ from moodtape.functions.numeric import round_half_up
 from moodtape.functions.text import clean_html, clean_text, clean_text_rows
 from moodtape.operators import articles, bars, correlation, daily, dedup, matching, quality, scoring
 from moodtape.plans import views
-from moodtape.session import work_path
+from moodtape.session import spread, work_path
 from moodtape.sources import landing, star
 from moodtape.sources.tables import Tables
 from moodtape.streaming import articles as streams
@@ -394,19 +394,37 @@ def article_json(spark, d):
     return records.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-def feed_xml(spark, d):
-    """Documents landed as feed items per ticker, then read as records."""
-    path = work_path(spark, "feeds")
-    items = _landed_documents(spark, d).select(
+def _feed_items(spark, d) -> DataFrame:
+    escaped = F.replace(F.replace("body", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return _landed_documents(spark, d).select(
         "ticker",
+        "source",
         "title",
-        F.concat(F.lit("<p>"), F.replace(F.replace("body", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p>")).alias("description"),
+        F.concat(F.lit("<p>"), escaped, F.lit("</p>")).alias("description"),
         F.concat(F.lit("https://example.org/"), F.col("doc_id").cast("string")).alias("link"),
         F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("g"), "doc_id")).alias("guid"),
         F.concat(
             F.lit("Mon, "), F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0"), F.lit(" Jan 2024 10:20:30 +0530")
         ).alias("pubDate"),
     )
+
+
+def feed_news(spark, d):
+    """Documents landed as general feeds, then matched to every ticker they mention."""
+    path = work_path(spark, "news")
+    items = _feed_items(spark, d).withColumnRenamed("source", "author").drop("ticker")
+    out = spread(items).write.format("xml")
+    out.option("rootTag", "channel").option("rowTag", "item").save(path)
+    records = articles.feed_records(
+        landing.read_feed_items(spark, path), star.keywords(spark), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS))
+    )
+    return records.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def feed_xml(spark, d):
+    """Documents landed as feed items per ticker, then read as records."""
+    path = work_path(spark, "feeds")
+    items = _feed_items(spark, d).drop("source")
     out = items.hint("rebalance", "ticker").write.partitionBy("ticker").format("xml")
     out.option("rootTag", "rss").option("rowTag", "item").save(path)
     records = articles.ticker_feed_records(
@@ -523,6 +541,7 @@ QUERIES = {
         score_new_articles,
         article_json,
         feed_xml,
+        feed_news,
         stream_daily_window,
         stream_upsert,
         stream_dedup,

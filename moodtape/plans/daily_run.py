@@ -33,6 +33,10 @@ def _of(path: str, run_date: str) -> str:
     return f"{path.rstrip('/')}/run_date={run_date}"
 
 
+def _on(df: DataFrame, column: str, run_date: str) -> DataFrame:
+    return df.filter(F.col(column) == F.to_date(F.lit(run_date)))
+
+
 def collect_prices(tables: Tables, place: Landing, run_date: str, lookback_days: int = 1) -> int:
     landed = landing.read_bar_files(tables.spark, place.bars).filter(F.col("run_date") == F.to_date(F.lit(run_date)))
     return tables.insert("price_daily", bars.collect_prices(landed, run_date, lookback_days))
@@ -69,12 +73,12 @@ def collect_articles(tables: Tables, place: Landing, run_date: str, ingest_ts: d
 
 def score(tables: Tables, run_date: str, load_scorer: Callable[[], scoring.Scorer] | None = None) -> int:
     """Score what the day collected and roll the day up."""
+    # An article is scored under the date it was collected on, so one day of each table is enough.
     fresh = scoring.score_articles(
-        tables.read("raw_sentiment"), tables.read("sentiment_scored"), run_date, load_scorer
+        tables.read("raw_sentiment"), _on(tables.read("sentiment_scored"), "scored_date", run_date), run_date, load_scorer
     )
     n = tables.append("sentiment_scored", fresh)
-    day = F.col("scored_date") == F.to_date(F.lit(run_date))
-    rows = daily.daily_sentiment(tables.read("sentiment_scored").filter(day))
+    rows = daily.daily_sentiment(_on(tables.read("sentiment_scored"), "scored_date", run_date))
     tables.replace("daily_sentiment", rows, ["ticker", "sentiment_date"])
     return n
 
@@ -86,10 +90,6 @@ def correlate(tables: Tables, run_date: str, lookback_days: int = correlation.LO
     return tables.replace("sentiment_price_correlation", rows, ["ticker", "analysis_date"])
 
 
-def _on(df: DataFrame, column: str, run_date: str) -> DataFrame:
-    return df.filter(F.col(column) == F.to_date(F.lit(run_date)))
-
-
 def collection_gate(tables: Tables, run_date: str) -> list:
     checks = quality.collection_checks(
         _on(tables.read("price_daily"), "trade_date", run_date),
@@ -164,17 +164,16 @@ def backfill(
     every_day = tables.spark.range(1).select(F.explode(F.sequence(first, last)).alias("run_date"))
     calendar = trading_rows(every_day, "run_date", list(holidays))
 
-    def good(checks: DataFrame) -> DataFrame:
-        return quality.report(checks).filter("pipeline_ok").select("run_date")
+    def good(checks: DataFrame) -> list[dt.date]:
+        """The days that pass, one small row each; as literals they prune the scans that follow."""
+        return [r["run_date"] for r in quality.report(checks).filter("pipeline_ok").collect()]
 
     collected = good(
         quality.collection_checks(
             in_range("price_daily", "trade_date"), in_range("raw_sentiment", "collected_date"), calendar
         )
     )
-    raw = in_range("raw_sentiment", "collected_date").join(
-        collected.withColumnRenamed("run_date", "collected_date"), "collected_date", "left_semi"
-    )
+    raw = tables.read("raw_sentiment").filter(F.col("collected_date").isin(collected))
     scored = tables.append(
         "sentiment_scored", scoring.score_articles(raw, in_range("sentiment_scored", "scored_date"), None, load_scorer)
     )
@@ -196,6 +195,6 @@ def backfill(
         correlation.backfill_correlation(
             tables.read("daily_sentiment"), tables.read("price_daily"), start, end, lookback_days
         )
-    ).join(passed.withColumnRenamed("run_date", "analysis_date"), "analysis_date", "left_semi")
+    ).filter(F.col("analysis_date").isin(passed))
     correlated = tables.replace("sentiment_price_correlation", found, ["ticker", "analysis_date"])
     return {"scored": scored, "aggregated": rolled, "correlated": correlated}

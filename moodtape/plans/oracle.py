@@ -207,7 +207,7 @@ def cleaned(text: str) -> str:
 
 MARKUP = (
     r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)|<[!?][^>]*>"
-    r"""|</?[a-z](?:[^>"']|"[^"]*"|'[^']*')*>"""
+    r"""|</?[a-z][^>=]*(?:=\s*(?:"[^"]*"|'[^']*'|)[^>=]*)*>"""
 )
 
 
@@ -225,11 +225,15 @@ def unescaped(text: str) -> str:
 DOCUMENTS = f"""select doc_id, text, date '{star.FIRST_DAY}' + (doc_id % {star.DAYS})::int collected_date,
     {cleaned('text')} clean from documents"""
 KEYWORDS = "select * from (values " + ", ".join(f"({quote(t)}, {quote(k)})" for t, k in star.KEYWORDS) + ") k(ticker, keyword)"
-MATCHES = " union ".join(
-    f"""select doc_id, {quote(t)} ticker from documents
-    where regexp_matches(upper(text), {quote(f"(^|[^{WORD}])" + chr(92) + "Q" + k.upper() + chr(92) + "E([^" + WORD + "]|$)")})"""
-    for t, k in star.KEYWORDS
-)
+def matches(source: str, text: str) -> str:
+    """Pairs of document and ticker, one pattern per keyword."""
+    patterns = [(t, rf"(^|[^{WORD}])\Q{k.upper()}\E([^{WORD}]|$)") for t, k in star.KEYWORDS]
+    return " union ".join(
+        f"select doc_id, {quote(t)} ticker from {source} where regexp_matches(upper({text}), {quote(p)})" for t, p in patterns
+    )
+
+
+MATCHES = matches("documents", "text")
 
 
 def lexicon_sql(source: str, columns: str) -> str:
@@ -446,6 +450,15 @@ ORACLE: dict[str, str] = {
         where length(full_text) >= 15""",
         landed=LANDED,
     ),
+    "feed_news": query(
+        """select 'news' as source, case when doc_id % 2 = 0 then 'g' || doc_id::varchar else url end || '_' || m.ticker source_id,
+        m.ticker, published_at, collected_date, substr(full_text, 1, 4000) raw_text, author, 0 upvotes, url
+        from texts join found m using (doc_id)""",
+        landed=LANDED,
+        texts=f"""select * from (select doc_id, url, published_at, source author, date '{catalog.AS_OF}' collected_date,
+            {stripped("title || ' ' || " + stripped("body"))} full_text from landed) where length(full_text) >= 20""",
+        found=matches("texts", "full_text"),
+    ),
     "stream_daily_window": query(
         """select * from daily where sentiment_date + 1 <= (select max(ts) - interval 1 hour from events)""", "daily"
     ),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moodtape.dimensions import seed_tickers
-from moodtape.operators.dedup import new_rows, replaced
+from moodtape.operators.dedup import first_per_full_key, not_stored, replaced
 from moodtape.plans import views
 from moodtape.schemas import TABLES, Table
 from moodtape.session import work_path
@@ -112,6 +112,19 @@ class Tables:
         self.spark.catalog.refreshByPath(self.path(table.name))
         return seen()
 
+    def _stage(self, df: DataFrame, table: Table, label: str) -> tuple[DataFrame, int]:
+        """Write rows that are used more than once to the shared folder; also their number."""
+        path = work_path(self.spark, f"{label}-{table.name}")
+        counted, seen = _counted(df)
+        counted.write.parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path), seen()
+
+    def _on_days_of(self, incoming: DataFrame, stored: DataFrame, table: Table) -> DataFrame:
+        """Stored rows on the days that come in.  As literals the days prune partitions at the scan;
+        there are as many as the calendar has, not as the data has rows."""
+        days = [r[0] for r in incoming.select(table.day).distinct().collect()]
+        return stored.filter(F.col(table.day).isin(days))
+
     def append(self, name: str, df: DataFrame) -> int:
         table = TABLES[name]
         return self._write(aligned(df, table), table, "append")
@@ -135,35 +148,32 @@ class Tables:
         given = aligned(df, table)
         stamps = {"ingested_at", "scored_at", "computed_at", "added_at"}
         order = order or [c for c in given.columns if c not in (*table.key, *stamps)]
-        fresh = new_rows(given, self.read(name), table.key, order)
-        return self._write(fresh, table, "append")
+        staged, _ = self._stage(first_per_full_key(given, table.key, order), table, "insert")
+        stored = self.read(name)
+        if table.day in table.key:
+            stored = self._on_days_of(staged, stored, table)
+        return self._write(not_stored(staged, stored, table.key), table, "append")
 
     def replace(self, name: str, df: DataFrame, keys: Sequence[str]) -> int:
         """Delete the stored rows with an incoming key, insert all incoming rows; returns how many.
 
-        Only the days that occur in ``df`` are rewritten, each swapped in as a
-        whole.  The incoming rows are first written to the shared folder: they
-        are used three times, and the table cannot feed its own rewrite otherwise.
+        Only the days that occur in ``df`` are read and rewritten, each swapped in
+        as a whole.
         """
         table = TABLES[name]
         if not keys:
             raise ValueError("replace needs the key columns that say which rows to delete")
         if table.day and table.day not in keys:
             raise ValueError(f"the keys for {name} must include its day column {table.day}")
-        staged_path = work_path(self.spark, f"replace-{name}")
-        counted, seen = _counted(aligned(df, table))
-        counted.write.parquet(staged_path)
-        incoming = self.spark.read.schema(table.schema).parquet(staged_path)
+        incoming, seen = self._stage(aligned(df, table), table, "replace")
         stored = self.read(name)
         if table.day:
-            stored = stored.join(incoming.select(table.day).distinct(), table.day, "left_semi")
-        result = replaced(stored.select(*table.schema.names), incoming, keys)
+            stored = self._on_days_of(incoming, stored, table)
+        result = replaced(stored, incoming, keys)
         if not table.day:
-            whole = work_path(self.spark, f"rewrite-{name}")
-            result.write.parquet(whole)
-            result = self.spark.read.schema(table.schema).parquet(whole)
+            result, _ = self._stage(result, table, "rewrite")
         self._write(result, table, "overwrite")
-        return seen()
+        return seen
 
     def ready(self) -> bool:
         """Is the instrument dimension set up?"""

@@ -207,6 +207,8 @@ FRAGMENTS = [
     "&unknown; &bogus text",
     "<!DOCTYPE html><html><head><title>T</title></head><body>  B\n c </body></html>",
     "<ul><li>1</li><li> 2 </li></ul>",
+    "<p class=it's title = 'a > b'>stray quote</p> it's 5 < 6",
+    "<a href=x?a=b=c>two</a>",
     "<div\n class='a'\n>multi\nline</div>",
 ]
 
