@@ -36,10 +36,27 @@ def _series(daily: DataFrame, prices: DataFrame, first: Column, last: Column) ->
     ).select("ticker", "date", F.col("avg_sentiment_score").alias("x"), F.col("pct_change").alias("y"))
 
 
-def _windows() -> tuple[WindowSpec, WindowSpec]:
-    """By row and rolling.  One row per ticker and day, so a group is as long as the calendar."""
-    by_row = Window.partitionBy("ticker").orderBy("date")
-    return by_row, by_row.rowsBetween(1 - ROLLING_ROWS, 0)
+def _by_row(*keys: str) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy("date")
+
+
+def _rolling_mean(c: str, *keys: str) -> Column:
+    return F.avg(c).over(_by_row(*keys).rowsBetween(1 - ROLLING_ROWS, 0))
+
+
+def _complete_rows(series: DataFrame, keys: Sequence[str], rolling_x: Column, rolling_y: Column) -> DataFrame:
+    """Lags and rolling means within each key group, then the rows with both values.
+
+    Lags and rolling means see all joined rows; the incomplete ones are left out
+    only afterwards.  All of it is one window, so one sort.
+    """
+    return series.select(
+        *keys,
+        "y",
+        *[(F.lag("x", k).over(_by_row(*keys)) if k else F.col("x")).alias(f"x{k}") for k in LAGS],
+        rolling_x.alias("rolling_x"),
+        rolling_y.alias("rolling_y"),
+    ).filter(F.col("x0").isNotNull() & F.col("y").isNotNull())
 
 
 def _correlations() -> list[Column]:
@@ -60,24 +77,16 @@ def lag_correlation(
 ) -> DataFrame:
     """Correlations at every lag for the window that ends on ``run_date``.
 
-    Lags and rolling means see all joined rows; the incomplete ones are left out
-    only afterwards.  ``sample_size`` counts complete lag-0 pairs.
+    A window group is one ticker with one row per day: as long as the calendar,
+    no longer.  ``sample_size`` counts complete lag-0 pairs.
     """
     end = F.to_date(F.lit(run_date))
-    by_row, rolling = _windows()
-    base = (
-        _series(daily, prices, F.date_sub(end, lookback_days), end)
-        .select(
-            "ticker",
-            "y",
-            *[(F.lag("x", k).over(by_row) if k else F.col("x")).alias(f"x{k}") for k in LAGS],
-            F.avg("x").over(rolling).alias("rolling_x"),
-            F.avg("y").over(rolling).alias("rolling_y"),
-        )
-        .filter(F.col("x0").isNotNull() & F.col("y").isNotNull())
+    series = _series(daily, prices, F.date_sub(end, lookback_days), end)
+    rows = _complete_rows(series, ["ticker"], _rolling_mean("x", "ticker"), _rolling_mean("y", "ticker"))
+    found = rows.groupBy("ticker").agg(*_correlations())
+    return found.filter(F.col("sample_size") >= min_sample).select(
+        "ticker", end.alias("analysis_date"), *found.columns[1:]
     )
-    found = base.groupBy("ticker").agg(*_correlations()).filter(F.col("sample_size") >= min_sample)
-    return found.select("ticker", end.alias("analysis_date"), *found.columns[1:])
 
 
 def optimal_lag(correlations: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
@@ -106,17 +115,6 @@ def largest_samples(correlations: DataFrame, k: int = 5) -> DataFrame:
     return correlations.orderBy(F.desc("sample_size"), "ticker").limit(k)
 
 
-def _mean_since(rows: Column, first: Column, field: str) -> Column:
-    """Mean of one field over the rows dated ``first`` or later, NULLs skipped."""
-    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
-
-    def add(a: Column, r: Column) -> Column:
-        seen = (r["date"] >= first) & r[field].isNotNull()
-        return F.when(seen, F.struct((a["total"] + r[field]).alias("total"), (a["n"] + 1).alias("n"))).otherwise(a)
-
-    return F.aggregate(rows, start, add, lambda a: F.try_divide(a["total"], a["n"]))
-
-
 def backfill_correlation(
     daily: DataFrame,
     prices: DataFrame,
@@ -127,43 +125,28 @@ def backfill_correlation(
 ) -> DataFrame:
     """``lag_correlation`` for every day from ``start`` to ``end``, in one job.
 
-    Lags and rolling rows are computed once per ticker.  Each row then goes to
-    the analysis dates whose window holds it, at most ``lookback_days + 1`` of
-    them.  A window start cuts a prefix off the ordered series, so a lag is
-    visible from a window exactly when its own date is not before that start.
-    The fan-out and the grouping reuse the partitioning by ticker: one shuffle
-    after the join, none for the (ticker, analysis date) groups.
+    Each joined row goes to the analysis dates whose look-back holds it, at most
+    ``lookback_days + 1`` of them, and each (ticker, analysis date) group is then
+    treated as the one-day query treats a ticker.  Only the short series is
+    shuffled, by ticker; the copies are made, sorted and grouped where they are.
+
+    The rolling mean is not computed over again for every copy: past the first
+    rows of a group it equals the mean of the whole series, and among the first
+    rows it is a running mean.
     """
     first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    earlier = [k for k in LAGS if k]
-    by_row, rolling = _windows()
-    per_row = _series(daily, prices, F.date_sub(first, lookback_days), last).select(
-        "ticker",
-        "date",
-        "x",
-        "y",
-        *[F.lag("x", k).over(by_row).alias(f"px{k}") for k in earlier],
-        *[F.lag("date", k).over(by_row).alias(f"pd{k}") for k in earlier],
-        F.avg("x").over(rolling).alias("full_x"),
-        F.avg("y").over(rolling).alias("full_y"),
-        F.min("date").over(rolling).alias("oldest"),
-        F.collect_list(F.struct("date", "x", "y")).over(rolling).alias("recent"),
+    series = _series(daily, prices, F.date_sub(first, lookback_days), last).select(
+        "*", _rolling_mean("x", "ticker").alias("full_x"), _rolling_mean("y", "ticker").alias("full_y")
     )
-    complete = per_row.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     days = F.sequence(F.greatest(F.col("date"), first), F.least(F.date_add("date", lookback_days), last))
-    fanned = complete.withColumn("analysis_date", F.explode(days))
-    window_start = F.date_sub("analysis_date", lookback_days)
-    whole = F.col("oldest") >= window_start
-    pairs = fanned.select(
-        "ticker",
-        "analysis_date",
-        "y",
-        F.col("x").alias("x0"),
-        *[F.when(F.col(f"pd{k}") >= window_start, F.col(f"px{k}")).alias(f"x{k}") for k in earlier],
-        *[
-            F.when(whole, F.col(f"full_{c}")).otherwise(_mean_since(F.col("recent"), window_start, c)).alias(f"rolling_{c}")
-            for c in ("x", "y")
-        ],
-    )
-    found = pairs.groupBy("ticker", "analysis_date").agg(*_correlations())
+    keys = ["ticker", "analysis_date"]
+    so_far = _by_row(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    few = F.row_number().over(_by_row(*keys)) <= ROLLING_ROWS
+
+    def rolling(c: str) -> Column:
+        return F.when(few, F.avg(c).over(so_far)).otherwise(F.col(f"full_{c}"))
+
+    windows = series.withColumn("analysis_date", F.explode(days))
+    rows = _complete_rows(windows, keys, rolling("x"), rolling("y"))
+    found = rows.groupBy(*keys).agg(*_correlations())
     return found.filter(F.col("sample_size") >= min_sample)
