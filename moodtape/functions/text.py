@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -51,13 +52,18 @@ def clean_text(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Colum
     return t if max_chars is None else F.substring(t, 1, max_chars)
 
 
-def clean_text_rows(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Column:
-    """The cleaned text as a generator that gives no row where nothing is left.
+def only_if(c: Column, condition: Callable[[Column], Column]) -> Column:
+    """The value as a generator: one row where the condition holds, none where it does not.
 
-    A filter on the cleaned column would be pushed below it and clean every text
-    a second time.
+    For values that are dear to compute.  A filter on a computed column is pushed
+    below its computation, which then runs twice.
     """
-    return F.explode(F.filter(F.array(clean_text(c, max_chars)), lambda t: t != ""))
+    return F.explode(F.filter(F.array(c), condition))
+
+
+def clean_text_rows(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Column:
+    """The cleaned text, without a row where nothing is left."""
+    return only_if(clean_text(c, max_chars), lambda t: t != "")
 
 
 def full_text(title: ColumnLike, summary: ColumnLike) -> Column:

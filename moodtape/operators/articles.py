@@ -13,6 +13,7 @@ from moodtape.functions.text import (
     MIN_TICKER_TEXT,
     clean_html,
     full_text,
+    only_if,
     source_id,
     stored_text,
 )
@@ -50,10 +51,14 @@ def _records(df: DataFrame, source: str, run_date: ColumnLike) -> DataFrame:
     return first_per_key(rows, ["source_id"], FEED_ORDER).select(*RECORD)
 
 
-def _feed_fields(items: DataFrame) -> DataFrame:
+def _long_enough(text: Column, least: int) -> Column:
+    return only_if(text, lambda t: F.length(t) >= least).alias("text")
+
+
+def _feed_fields(items: DataFrame, least: int) -> DataFrame:
     return items.select(
         "*",
-        full_text("title", clean_html(_non_empty("summary", "description"))).alias("text"),
+        _long_enough(full_text("title", clean_html(_non_empty("summary", "description"))), least),
         F.coalesce("link", F.lit("")).alias("url"),
         F.coalesce("id", "guid").alias("article_id"),
     )
@@ -70,7 +75,7 @@ def _in_file_order(df: DataFrame) -> DataFrame:
 
 def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """Items of general feeds, matched to every ticker they mention."""
-    long_enough = _feed_fields(_in_file_order(items)).filter(F.length("text") >= MIN_FEED_TEXT)
+    long_enough = _feed_fields(_in_file_order(items), MIN_FEED_TEXT)
     # Equal digests mean equal texts, hence equal mentions.
     keyed = long_enough.withColumn("_digest", F.sha2("text", 256))
     matched = with_tickers(keyed, keywords, "text", key="_digest")
@@ -80,6 +85,7 @@ def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, in
             "published_at": first_date(published, ingest_ts),
             "author": F.coalesce(
                 F.col("author"),
+                F.col("`dc:creator`"),
                 F.substring("feed_title", 1, FEED_NAME_CHARS),
                 F.element_at(F.split("file", "/"), -1),
             ),
@@ -90,7 +96,7 @@ def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, in
 
 def ticker_feed_records(items: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """Items of feeds that were searched per ticker; the ticker is given."""
-    long_enough = _feed_fields(_in_file_order(items)).filter(F.length("text") >= MIN_TICKER_TEXT)
+    long_enough = _feed_fields(_in_file_order(items), MIN_TICKER_TEXT)
     published = [parse_rfc822(c) for c in ("pubDate", "published", "updated")]
     fields = long_enough.withColumns(
         {
@@ -114,7 +120,7 @@ def article_fields(articles: DataFrame) -> DataFrame:
     return articles.select(
         "ticker",
         *FEED_ORDER,
-        full_text(field("title"), _non_empty(field("summary"), field("description"))).alias("text"),
+        _long_enough(full_text(field("title"), _non_empty(field("summary"), field("description"))), MIN_TICKER_TEXT),
         field("pubDate").alias("published"),
         F.coalesce(
             F.when(is_object(provider), F.get_json_object(provider, "$.displayName")), F.lit(JSON_AUTHOR)
@@ -128,6 +134,5 @@ def article_fields(articles: DataFrame) -> DataFrame:
 
 def json_records(articles: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """JSON articles landed per ticker."""
-    fields = article_fields(_in_file_order(articles)).filter(F.length("text") >= MIN_TICKER_TEXT)
-    dated = fields.withColumn("published_at", first_date([parse_iso("published")], ingest_ts))
+    dated = article_fields(_in_file_order(articles)).withColumn("published_at", first_date([parse_iso("published")], ingest_ts))
     return _records(dated, JSON_SOURCE, run_date)

@@ -93,9 +93,10 @@ def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_tex
 
     ``keywords`` has (ticker, keyword) rows.  Its size is checked: up to
     ``INLINE_KEYWORDS`` are fetched and searched inside the row, in one of two
-    ways, without any shuffle.  A larger table is joined on the gram, and ``key`` must then name a
-    unique column of ``df``.  Only ``key`` and the grams go through that join;
-    the keyword side is copied ``SALTS`` times and the text side spread over the
+    ways, without any shuffle.  A larger table is joined on the gram.  ``key`` must
+    then name a column that tells texts apart (an id or a digest; rows with equal
+    keys have equal texts).  Only ``key`` and the grams go through that join; the
+    keyword side is copied ``SALTS`` times and the text side spread over the
     copies, so a gram found in most texts is split over many tasks.
     """
     text = as_col(text)
@@ -129,7 +130,9 @@ def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_tex
     if key is None:
         raise ValueError("a keyword table of this size needs key=, a unique column of the frame")
     shapes = [tuple(r) for r in table.select("n", "word_first", "word_last").distinct().collect()]
-    grams = df.select(key, F.explode(_grams(upper, shapes)).alias("gram")).withColumn(
+    # Copies of one text merge in the map tasks, so they neither shuffle nor pile up on one salt.
+    texts = df.select(key, upper.alias("_upper")).dropDuplicates([key])
+    grams = texts.select(key, F.explode(_grams(F.col("_upper"), shapes)).alias("gram")).withColumn(
         "salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
     )
     copies = table.select("ticker", "gram", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))

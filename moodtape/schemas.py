@@ -147,7 +147,7 @@ BAR_FILE = _schema("date date, open d, high d, low d, close d, volume l, adj_clo
 
 FEED_ITEM = T.StructType(
     [T.StructField(n, T.StringType()) for n in (
-        "title", "summary", "description", "link", "guid", "id", "pubDate", "published", "updated", "created", "author",
+        "title", "summary", "description", "link", "guid", "id", "pubDate", "published", "updated", "created", "author", "dc:creator",
     )]
     + [T.StructField("source", T.StructType([T.StructField(n, T.StringType()) for n in ("_VALUE", "_url")]))]
 )

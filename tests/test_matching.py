@@ -46,6 +46,16 @@ def test_three_ways_equal_the_regular_expression(spark, monkeypatch, way):
     assert {tuple(r) for r in got} == by_regex(texts, pairs)
 
 
+def test_copies_of_one_text_are_all_matched(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TESTED_KEYWORDS", 0)
+    monkeypatch.setattr(matching, "INLINE_KEYWORDS", 0)
+    texts = [(i, "d1" if i % 3 else f"e{i}", "Jio and Tata" if i % 3 else "Infosys") for i in range(90)]
+    df = spark.createDataFrame(texts, "id int, digest string, raw_text string")
+    got = [tuple(r) for r in matching.with_tickers(df, seed_keywords(spark), key="digest").select("id", "ticker").collect()]
+    expect = [(i, t) for i, d, _ in texts for t in (("RELIANCE", "TCS", "TMCV") if d == "d1" else ("INFY",))]
+    assert sorted(got) == sorted(expect)
+
+
 def test_default_dictionary(spark):
     texts = [
         (1, "Reliance and Jio rise"),
