@@ -438,7 +438,8 @@ def feed_xml(spark, d):
 
 def _event_stream(spark, d) -> DataFrame:
     events = streams.landed(spark, d, star.SCHEMAS["events"], "parquet", pathGlobFilter="events.parquet")
-    return events.withColumn("event_time", F.col("ts").cast("timestamp"))
+    clock = [F.year("ts"), F.month("ts"), F.day("ts"), F.hour("ts"), F.minute("ts"), F.expr("extract(SECOND FROM ts)")]
+    return events.withColumn("event_time", F.make_timestamp(*clock, F.lit("UTC")))
 
 
 def _scored_stream(spark, d) -> DataFrame:

@@ -38,7 +38,7 @@ def deduplicated(rows: DataFrame, keys: Sequence[str], event_time: str, spread:
 
 
 def daily_windows(scored: DataFrame, event_time: str, delay: str = "1 hour", min_mentions: int = MIN_MENTIONS) -> DataFrame:
-    """Daily sentiment over one-day windows of the event time.
+    """Daily sentiment over one-day windows (UTC) of the event time.
 
     In append mode a day comes out once the watermark has passed its end; in
     update mode every change comes out at once, to be written with
@@ -50,8 +50,10 @@ def daily_windows(scored: DataFrame, event_time: str, delay: str = "1 hour", min
         .agg(*daily_measures())
     )
     measures = windowed.columns[2:]
+    # Windows begin at midnight UTC whatever zone the session shows times in.
+    utc_day = F.date_from_unix_date(F.floor(F.unix_seconds("window.start") / 86400).cast("int"))
     return windowed.filter(F.col("total_mentions") >= min_mentions).select(
-        "ticker", F.to_date("window.start").alias("sentiment_date"), *measures
+        "ticker", utc_day.alias("sentiment_date"), *measures
     )
 
 
