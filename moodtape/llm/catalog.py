@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup
+from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup
 from moodtape.llm.common import read_table
 
 
+def op1_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, d, "documents"), words=4)
+
+
+def op3_source_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix_report(read_table(spark, d, "documents"))
+
+
 def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language.language_report(read_table(spark, d, "documents"))
 
@@ -21,12 +29,68 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_source_mix": op3_source_mix,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE = {
+    "op3_source_mix": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                (('0x' || substr(sha256('mix-1|' || doc_id), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+            FROM documents
+        ),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                ((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
+            FROM sized GROUP BY source
+        ),
+        ordered AS (
+            SELECT *, 3 * source_size AS cap,
+                coalesce(sum(3 * source_size) OVER before, 0)::DOUBLE AS capped, coalesce(sum(weight) OVER before, 0) AS gone,
+                sum(source_size) OVER ()::DOUBLE AS total, sum(weight) OVER () AS weights
+            FROM sources
+            WINDOW before AS (
+                ORDER BY 3 * source_size / weight::DOUBLE, encode(source) NULLS LAST
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+            )
+        ),
+        shared AS (SELECT *, (total - capped) / (weights - gone)::DOUBLE AS share FROM ordered),
+        level AS (
+            SELECT gone AS settled, share AS water FROM shared WHERE weight * share <= cap ORDER BY gone LIMIT 1
+        ),
+        aimed AS (
+            SELECT source, source_size,
+                least(cap::DOUBLE, CASE WHEN gone < settled THEN cap::DOUBLE ELSE weight * water END) AS target
+            FROM shared, level
+        ),
+        parts AS (
+            SELECT *, floor(CASE WHEN source_size > 0 THEN least(3.0::DOUBLE, target / source_size) ELSE 0 END)::BIGINT AS copies,
+                (CASE WHEN source_size > 0 THEN least(3.0::DOUBLE, target / source_size) ELSE 0 END) AS repeats
+            FROM aimed
+        ),
+        chances AS (SELECT *, repeats - copies AS chance, target - copies * source_size AS lacks FROM parts),
+        ranked AS (
+            SELECT s.doc_id, s.size, c.*, (s.u / (1 - s.u)) / (c.chance / (1 - c.chance)) AS odds
+            FROM sized s JOIN chances c ON s.source IS NOT DISTINCT FROM c.source
+        ),
+        summed AS (
+            SELECT *, odds / (1 + odds) AS pareto, sum(size) OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id) AS upto,
+                row_number() OVER (PARTITION BY source ORDER BY odds / (1 + odds), doc_id) AS place
+            FROM ranked
+        ),
+        ends AS (
+            SELECT source, coalesce(min(place) FILTER (upto >= lacks), max(place)) AS last FROM summed GROUP BY source
+        ),
+        included AS (
+            SELECT s.*, chance > 0 AND (place < last OR place = last AND abs(upto - lacks) <= abs(upto - size - lacks)) AS once_more
+            FROM summed s JOIN ends e ON s.source IS NOT DISTINCT FROM e.source
+        )
+        SELECT doc_id, size, source_size, target, size * (copies + CASE WHEN once_more THEN 1 ELSE 0 END) AS taken FROM included
+    """,
     "op9_line_dedup": r"""
         WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         every AS (
