@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup
-from moodtape.llm.common import read_table
+from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup, pieces
+from moodtape.llm.common import read_table, tokenizer_path
 
 
 def op1_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op3_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, d, "documents"))
 
 
+def op7_piece_encoding(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.encoding_digests(read_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language.language_report(read_table(spark, d, "documents"))
 
@@ -31,6 +35,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_source_mix": op3_source_mix,
+    "op7_piece_encoding": op7_piece_encoding,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,

@@ -46,3 +46,10 @@ def without_blanks(text: Column) -> Column:
     for blank in BLANKS:
         text = F.replace(text, F.lit(blank), F.lit(""))
     return text
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; the package is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
