@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup, pieces
+from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup, pieces, token_files
 from moodtape.llm.common import read_table, tokenizer_path
+from moodtape.session import work_path
 
 
 def op1_minhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, d, "documents"), words=4)
 
 
+def op2_token_files(spark: SparkSession, d: str) -> DataFrame:
+    path = work_path(spark, "tokens")
+    token_files.write_tokens(read_table(spark, d, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return token_files.token_report(token_files.read_tokens(spark, path))
+
+
 def op3_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, d, "documents"))
 
@@ -34,6 +41,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_token_files": op2_token_files,
     "op3_source_mix": op3_source_mix,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_language_id": op8_language_id,
