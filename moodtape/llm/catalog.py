@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup, mixing, near_dedup, pieces, token_files
+from moodtape.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, pieces, token_files
 from moodtape.llm.common import read_table, tokenizer_path
 from moodtape.session import work_path
 
@@ -23,6 +23,11 @@ def op3_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, d, "documents"))
 
 
+def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
+    pages = read_table(spark, d, "pages")
+    return main_text.extract(pages, main_text.fit(pages))
+
+
 def op7_piece_encoding(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encoding_digests(read_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -43,6 +48,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_files": op2_token_files,
     "op3_source_mix": op3_source_mix,
+    "op4_main_text": op4_main_text,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
