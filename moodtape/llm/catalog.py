@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, pieces, token_files
+from moodtape.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, pieces, token_files, vector_tree
 from moodtape.llm.common import read_table, tokenizer_path
 from moodtape.session import work_path
 
@@ -28,6 +28,11 @@ def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
     return main_text.extract(pages, main_text.fit(pages))
 
 
+def op6_vector_tree(spark: SparkSession, d: str) -> DataFrame:
+    rows = read_table(spark, d, "embeddings")
+    return vector_tree.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op7_piece_encoding(spark: SparkSession, d: str) -> DataFrame:
     return pieces.encoding_digests(read_table(spark, d, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -49,6 +54,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_source_mix": op3_source_mix,
     "op4_main_text": op4_main_text,
+    "op6_vector_tree": op6_vector_tree,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
