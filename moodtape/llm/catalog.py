@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, pieces, token_files, vector_tree
+from moodtape.llm import exact_dedup, language, licenses, line_dedup, main_text, mixing, near_dedup, pieces, token_files, vector_tree
 from moodtape.llm.common import read_table, tokenizer_path
 from moodtape.session import work_path
 
@@ -28,6 +28,10 @@ def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
     return main_text.extract(pages, main_text.fit(pages))
 
 
+def op5_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.find_licenses(read_table(spark, d, "documents"))
+
+
 def op6_vector_tree(spark: SparkSession, d: str) -> DataFrame:
     rows = read_table(spark, d, "embeddings")
     return vector_tree.nearest(rows, rows.where("vec_id % 20 = 0"))
@@ -49,11 +53,17 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, d, "documents"))
 
 
+def _template_rows() -> str:
+    quoted = [text.replace("'", "''") for _, text in licenses.TEMPLATES]
+    return ", ".join(f"({k}, '{name}', '{text}')" for k, ((name, _), text) in enumerate(zip(licenses.TEMPLATES, quoted)))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_token_files": op2_token_files,
     "op3_source_mix": op3_source_mix,
     "op4_main_text": op4_main_text,
+    "op5_license_scan": op5_license_scan,
     "op6_vector_tree": op6_vector_tree,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_language_id": op8_language_id,
@@ -116,6 +126,36 @@ ORACLE = {
         )
         SELECT doc_id, size, source_size, target, size * (copies + CASE WHEN once_more THEN 1 ELSE 0 END) AS taken FROM included
     """,
+    "op5_license_scan": r"""
+        WITH templates(template, license, text) AS (VALUES """
+    + _template_rows()
+    + r"""),
+        parts AS (
+            SELECT doc_id, unnest(list_distinct(
+                string_split(t, chr(10)) || regexp_split_to_array(t, '\n[ \t\r]*\n\s*') || [t])) AS passage
+            FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+        ),
+        texts AS (
+            SELECT row_number() OVER () AS id, doc_id, NULL AS license, passage AS t FROM parts
+            UNION ALL SELECT -1 - template, NULL, license, text FROM templates
+        ),
+        worded AS (
+            SELECT id, doc_id, license, string_split(trim(regexp_replace(lower(t), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS words
+            FROM texts
+        ),
+        pairs AS (
+            SELECT id, doc_id, license, len(words) - 1 AS size, unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS bigram
+            FROM worded WHERE len(words) > 1
+        ),
+        counted AS (SELECT id, doc_id, license, size, bigram, count(*) AS times FROM pairs GROUP BY ALL),
+        common AS (
+            SELECT p.id, p.doc_id, t.license, t.id AS template, p.size, t.size AS t_size, sum(least(p.times, t.times)) AS common
+            FROM counted p JOIN counted t USING (bigram) WHERE p.id > 0 AND t.id < 0 GROUP BY ALL
+        ),
+        scored AS (SELECT *, 2.0::DOUBLE * common / (size + t_size) AS score FROM common),
+        best AS (SELECT id, doc_id, license, max(score) AS score FROM scored WHERE score >= 0.8::DOUBLE GROUP BY ALL)
+        SELECT doc_id, license, max(score) AS score, count(*) AS n_passages FROM best GROUP BY doc_id, license
+    """,
     "op9_line_dedup": r"""
         WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         every AS (

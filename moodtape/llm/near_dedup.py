@@ -9,10 +9,12 @@ probability of about 2e-9.  The share of agreeing registers, corrected for the c
 must come within six standard errors of the limit; then the link is confirmed on the full sets, made again from the
 whole texts of candidates only.
 
-No pairs within a group are listed.  First every node is compared with one centre; nodes that link are one component.
-Nodes are then compared only across components: again with one centre each, for ``ROUNDS`` rounds, and last, exactly,
-every node outside a bucket's largest component with all nodes of that bucket in other components.  So a group of
-many thousand near copies costs about one comparison a node, and still no link between components is lost.
+No pairs within a group are listed.  First every node is compared with one centre, the node of its buckets that
+shares most buckets; nodes that link are one component.  Then nodes are compared across components only.  In buckets
+of up to ``CROWD`` nodes that takes at most that many pairs a node.  Crowded buckets are joined to regions; a region's
+nodes outside its largest component are compared with all its nodes in square blocks, by matrix products over the
+shingles two blocks share, and a block gives one link per node and component.  So many thousand near copies cost
+about one comparison each, texts that nearly link are never listed as pairs, and no link between components is lost.
 
 Edge cases.  Words are runs of anything but blanks with A-Z lower-cased; a text with fewer words than a shingle is
 one shingle; a null, empty or blank text has an empty set, links with nothing and is kept.  Rows that repeat a doc_id
@@ -38,7 +40,7 @@ WORDS, PERCENT = 5, 80
 FUNCTIONS, BUCKETS, BAND_ROWS, MANTISSA_BITS = 8, 32, 5, 10
 REGISTERS = FUNCTIONS * BUCKETS
 BANDS = REGISTERS // BAND_ROWS
-ROUNDS = 1
+CROWD, BLOCK = 64, 1024
 PIECE = 1 << 16
 
 _U = np.uint64
@@ -177,10 +179,6 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("b.band", "b.part").alias("bucket"), "node", "n")
 
 
-def _mask(turn: int):
-    return F.xxhash64(F.lit(turn), "bucket")
-
-
 def _sizes_fit(a: str, b: str, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
@@ -208,7 +206,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
     near = pairs.join(side("low", nodes, "n", "registers"), "low").join(side("high", nodes, "n", "registers"), "high")
     near = near.where(_sizes_fit("low_n", "high_n", percent)).where(promising("low_registers", "high_registers", "low_n", "high_n"))
     near = staged(near.select("low", "high").distinct(), "near-pairs")
-    wanted = near.select(F.explode(F.array("low", "high")).alias("node")).distinct()
+    wanted = near.select(F.col("low").alias("node")).unionByName(near.select(F.col("high").alias("node"))).distinct()
     sets = _full_sets(docs, wanted, nodes, words)
     full = near.join(side("low", sets, "shingles"), "low").join(side("high", sets, "shingles"), "high")
     return full.where(linked("low_shingles", "high_shingles")).select("low", "high")
@@ -228,18 +226,87 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, words: int)
     return staged(made.join(nodes.select("node", "set_hash"), ["node", "set_hash"], "left_semi").drop("set_hash"), "full-sets")
 
 
-def _labelled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """bucket, node, n, component; a node without links is its own component."""
-    out = members.join(found, "node", "left")
-    return out.select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-
-
-def _mixed_buckets(labelled: DataFrame) -> DataFrame:
-    """bucket, major: the buckets with several components, and which has most members."""
-    sizes = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+def _first_links(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links of every node with one centre: of the nodes in its buckets, the one that shares most buckets."""
+    degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    ranked = members.join(degree, "node").select("bucket", "node", F.struct("degree", (-F.col("node")).alias("other")).alias("rank"))
+    top = ranked.groupBy("bucket").agg(F.max("rank").alias("top"))
+    tried = ranked.join(top, "bucket").groupBy("node").agg((-F.max("top")["other"]).alias("centre"))
+    pairs = tried.where("node <> centre").select(F.least("node", "centre").alias("low"), F.greatest("node", "centre").alias("high"))
+    return _confirmed(pairs.distinct(), nodes, docs, words, percent)
+
+
+def _region_links(labelled: DataFrame, crowded: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links across components in crowded buckets: at least one for each node outside its region's largest component
+    and each component it links with."""
+
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        sides = [[np.frombuffer(x, _U) for x in side["shingles"]] for side in (left, right)]
+        sizes = [np.array([len(x) for x in side], np.int64) for side in sides]
+        flat = [np.concatenate(side) if side else np.zeros(0, _U) for side in sides]
+        rows = [np.repeat(np.arange(len(side)), size) for side, size in zip(sides, sizes)]
+        both = np.intersect1d(*[np.unique(x) for x in flat], assume_unique=True)
+        shared = np.zeros((len(sides[0]), len(sides[1])), np.float32)
+        places = [np.searchsorted(both, x) for x in flat]
+        hit = [(p < len(both)) & (both[np.minimum(p, len(both) - 1)] == x) if len(both) else np.zeros(len(x), bool) for p, x in zip(places, flat)]
+        for start in range(0, len(both), 4096):
+            columns = []
+            for side, place, ok, row in zip(sides, places, hit, rows):
+                inside = ok & (place >= start) & (place < start + 4096)
+                matrix = np.zeros((len(side), min(4096, len(both) - start)), np.float32)
+                matrix[row[inside], place[inside] - start] = 1
+                columns.append(matrix)
+            shared += columns[0] @ columns[1].T
+        union = sizes[0][:, None] + sizes[1][None, :] - shared
+        a, b = np.nonzero((100 * shared >= percent * union) & (shared > 0))
+        found = pd.DataFrame({"low": left["node"].to_numpy()[a], "high": right["node"].to_numpy()[b]})
+        found["of"], found["to"] = left["component"].to_numpy()[a], right["component"].to_numpy()[b]
+        found = found[found["of"] != found["to"]].drop_duplicates(["low", "to"])
+        return found[["low", "high"]]
+
+    there = labelled.join(crowded, "bucket")
+    lead = there.groupBy("bucket").agg(F.min("node").alias("low"))
+    tied = there.join(lead, "bucket").select("low", F.col("node").alias("high"))
+    region = components(tied).select("node", F.col("component").alias("region"))
+    inside = there.select("node", "component").distinct().join(region, "node")
+    sizes = inside.groupBy("region", "component").agg(F.count("*").alias("size"))
     top = F.max(F.struct("size", "component"))["component"]
-    stats = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), top.alias("major"))
-    return stats.where("parts > 1").select("bucket", "major")
+    stats = sizes.groupBy("region").agg(F.sum("size").alias("nodes"), top.alias("major"))
+    minor = sizes.join(stats, "region").where("component <> major").groupBy("region").agg(F.sum("size").alias("minors"))
+    stats = stats.join(minor, "region")  # a region that is one component has nothing to compare
+    inside = staged(inside.join(stats, "region"), "regions")
+    sets = _full_sets(docs, inside.select("node").distinct(), nodes, words)
+    full = staged(inside.join(sets, "node"), "region-sets")
+    across, down = F.ceil(F.col("nodes") / BLOCK).cast("int"), F.ceil(F.col("minors") / BLOCK).cast("int")
+    column, row = F.pmod(F.xxhash64("node"), across).cast("int"), F.pmod(F.xxhash64("node"), down).cast("int")
+
+    def every(n):
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    left = full.where("component <> major").select("region", row.alias("row"), every(across).alias("column"), "node", "component", "shingles")
+    right = full.select("region", every(down).alias("row"), column.alias("column"), "node", "component", "shingles")
+    left = left.toDF("region", "row", "column", "node", "component", "shingles")  # columns of its own, apart from right's
+    keys = ["region", "row", "column"]
+    out = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "low long, high long")
+    return out.select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
+
+
+def _later_links(members: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """All links that are left between components; of those to one component in a crowd, at least one."""
+    labelled = members.join(found, "node", "left")
+    labelled = staged(labelled.select("bucket", "node", "n", "size", F.coalesce("component", "node").alias("component")), "labelled")
+    sizes = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max("size").alias("size"))
+    mixed = staged(sizes.where("least <> most").select("bucket", (F.col("size") > CROWD).alias("crowded")), "mixed")
+    few = labelled.join(mixed.where("NOT crowded").select("bucket"), "bucket").select("bucket", "node", "n", "component")
+    other = few.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "component")])
+    apart = F.col("component") != F.col("other_component")
+    tried = few.join(other, "bucket").where(apart & (F.col("node") < F.col("other_node")) & _sizes_fit("n", "other_n", percent))
+    pairs = tried.select(F.col("node").alias("low"), F.col("other_node").alias("high")).distinct()
+    links = _confirmed(pairs, nodes, docs, words, percent)
+    crowded = mixed.where("crowded").select("bucket")
+    if crowded.isEmpty():
+        return links
+    return links.unionByName(_region_links(labelled, crowded, nodes, docs, words, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -247,47 +314,19 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sketches = _sketches(docs, words)
     nodes = _nodes(sketches)
     bands = _bands(nodes)
-    stats = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("centre")).where("size > 1")
-    members = staged(bands.join(stats, "bucket").select("bucket", "node", "n", "centre"), "members")
-
-    # first: one centre for each node
-    pairs = members.groupBy("node").agg(F.min("centre").alias("low")).select("low", F.col("node").alias("high"))
-    links = staged(_confirmed(pairs.where("low < high"), nodes, docs, words, percent), "links-0")
+    stats = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = staged(bands.join(stats, "bucket"), "members")
+    links = _first_links(members, nodes, docs, words, percent)
     # a doc_id with several different sets ties them together
     several = sketches.where("doc_id IS NOT NULL").groupBy("doc_id")
     several = several.agg(F.count_distinct(F.coalesce("set_hash", F.lit(b""))).alias("sets")).where("sets > 1").drop("sets")
+    several = staged(several, "several-sets")
     tied = sketches.join(several, "doc_id").join(nodes.select("set_hash", "node"), "set_hash")
-    links = links.unionByName(tied.select(F.col("node").alias("low"), F.col("doc_id").alias("high")))
-    found = components(links)
-    members = members.drop("centre")
-
-    for turn in range(1, ROUNDS + 2):
-        labelled = staged(_labelled(members, found), "labelled")
-        mixed = staged(_mixed_buckets(labelled), "mixed")
-        if mixed.isEmpty():
-            break
-        rest = labelled.join(mixed, "bucket")
-        minor = rest.where("component <> major").select("bucket", "node", "n", "component", "major")
-        if turn <= ROUNDS:  # one node of the largest component for each node outside it
-            core = rest.where("component = major").groupBy("bucket").agg(F.min(F.col("node").bitwiseXOR(_mask(turn))).alias("code"))
-            centre = core.select("bucket", F.col("code").bitwiseXOR(_mask(turn)).alias("other"))
-            tried = minor.join(centre, "bucket").groupBy("node").agg(F.min("other").alias("other"))
-        else:  # all that is left, across components
-            every = labelled.join(mixed.select("bucket"), "bucket", "left_semi")
-            every = every.select("bucket", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("component").alias("other_component"))
-            across = F.col("component") != F.col("other_component")
-            once = (F.col("other_component") == F.col("major")) | (F.col("node") < F.col("other"))
-            tried = minor.join(every, "bucket").where(across & once & _sizes_fit("n", "other_n", percent)).select("node", "other").distinct()
-        pairs = tried.select(F.least("node", "other").alias("low"), F.greatest("node", "other").alias("high"))
-        more = staged(_confirmed(pairs, nodes, docs, words, percent), f"links-{turn}")
-        if not more.isEmpty():
-            ends = {c: found.select(F.col("node").alias(c), F.col("component").alias(f"{c}_in")) for c in ("low", "high")}
-            lifted = more.join(ends["low"], "low", "left").join(ends["high"], "high", "left")
-            a, b = F.coalesce("low_in", "low"), F.coalesce("high_in", "high")
-            stars = found.select(F.col("component").alias("low"), F.col("node").alias("high"))
-            found = components(lifted.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high")).unionByName(stars))
-        elif turn > ROUNDS:
-            break
+    found = components(links.unionByName(tied.select(F.col("node").alias("low"), F.col("doc_id").alias("high"))))
+    more = staged(_later_links(members, found, nodes, docs, words, percent), "later-links")
+    if not more.isEmpty():
+        stars = found.select(F.col("component").alias("low"), F.col("node").alias("high"))
+        found = components(more.unionByName(stars))
 
     labels = nodes.select("set_hash", "node").join(found, "node", "left")
     labels = labels.select("set_hash", F.coalesce("component", "node").alias("by_set"))
