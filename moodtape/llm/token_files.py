@@ -20,6 +20,7 @@ ids.  An empty table gives files without rows.  Columns other than doc_id and te
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,12 +34,18 @@ from moodtape.llm.common import whole_text
 
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 2000
 BATCH_IDS = 1 << 21
-#: Entries of each of the two tables of known words, see pieces.TABLE.
-TABLE = 250_000
+LEARN_CHARS = 1 << 20
+#: Entries after which the newer of two tables of known words becomes the older one; what is found there moves back.
+TABLE = 300_000
 
 
 class WordTable:
-    """Ids of texts as little-endian 32-bit integers, word by word."""
+    """Ids of texts as little-endian 32-bit integers, word by word.
+
+    ``learn`` makes the ids of the words of some texts that are not known yet.  Words of letters alone, lower-cased
+    and without the commas and full stops at their end, are encoded many at a time, one blank between; the token that
+    ends a word tells where each one's ids stop.  All others are encoded alone.
+    """
 
     def __init__(self, path: str, whole_texts: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,32 +53,78 @@ class WordTable:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.whole = whole_texts
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _new(self, word: str) -> bytes:
-        found = self.older.get(word)
+    def _lookup(self, word: str) -> bytes | None:
+        found = self.known.get(word)
         if found is None:
-            found = self._ids(word)
+            found = self.older.get(word)
+            if found is not None:
+                self.known[word] = found
+        return found
+
+    def learn(self, texts: list[str]) -> None:
+        if self.whole:
+            return
         if len(self.known) >= TABLE:
             self.older, self.known = self.known, {"": b""}
-        self.known[word] = found
-        return found
+        new: set[str] = set()
+        for text in texts:
+            new.update(set(_words(text)).difference(self.known))
+        parts: list[tuple[str, str, str]] = []
+        simple: set[str] = set()
+        for word in new:
+            if self._lookup(word) is not None:
+                continue
+            base = word.rstrip(".,")
+            if _letters_only(base):
+                tail, base = word[len(base) :], base.lower() if base.isascii() else base
+                parts.append((word, base, tail))
+                if self._lookup(base) is None:
+                    simple.add(base)
+            else:
+                self.known[word] = self._ids(word).tobytes()
+        todo = list(simple)
+        for start in range(0, len(todo), 1000):
+            self._learn_together(todo[start : start + 1000])
+        for word, base, tail in parts:
+            if tail and self._lookup(tail) is None:
+                self.known[tail] = self._ids(tail).tobytes()
+            self.known[word] = self.known[base] + self.known[tail]
+
+    def _learn_together(self, words: list[str]) -> None:
+        ids = self._ids(" ".join(words))
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            for word in words:
+                self.known[word] = self._ids(word).tobytes()
+            return
+        start = 0
+        for word, stop in zip(words, stops.tolist()):
+            self.known[word] = ids[start:stop].tobytes()
+            start = stop
 
     def encode(self, text: str) -> bytes:
+        """The ids of one of the texts that were learned last."""
         if self.whole:
-            return self._ids(text)
-        known, parts = self.known.get, []
-        for word in text.replace("\n", " ").split(" "):
-            found = known(word)
-            if found is None:
-                found = self._new(word)
-                known = self.known.get
-            parts.append(found)
-        return b"".join(parts)
+            return self._ids(text).tobytes()
+        return b"".join(map(self.known.__getitem__, _words(text)))
+
+
+def _words(text: str) -> list[str]:
+    return text.replace("\n", " ").split(" ")
+
+
+def _letters_only(word: str) -> bool:
+    """Whether the word is one run of letters for the tokenizer too, whatever normalisation does to it."""
+    return word.isalpha() and (word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower().isalpha()))
 
 
 @lru_cache(1)
@@ -79,6 +132,20 @@ def _table(path: str, whole_texts: bool) -> WordTable:
     return WordTable(path, whole_texts)
 
 
+def _learned(table: WordTable, column: pa.Array) -> Iterator[str]:
+    """The texts of a column; about a million characters at a time are learned first."""
+    held, size = [], 0
+    for value in column:
+        held.append(value.as_py())
+        size += len(held[-1])
+        if size >= LEARN_CHARS:
+            table.learn(held)
+            yield from held
+            held, size = [], 0
+    table.learn(held)
+    yield from held
+
+
 def write_tokens(
     docs: DataFrame,
     path: str,
@@ -109,7 +176,7 @@ def write_tokens(
 
         for rows in batches:
             start, held, encoded = 0, 0, []
-            for text in rows.column("text").to_pylist():
+            for text in _learned(table, rows.column("text")):
                 encoded.append(table.encode(text) + end)
                 held += len(encoded[-1]) // 4
                 if held >= BATCH_IDS:
