@@ -20,10 +20,6 @@ SPACE = (
 )
 
 # Lengths, in characters, that decide what is kept.
-MODEL_TEXT_CHARS = 800
-STORED_TEXT_CHARS = 4000
-SOURCE_ID_CHARS = 180
-FEED_NAME_CHARS = 100
 MIN_FEED_TEXT = 20
 MIN_TICKER_TEXT = 15
 MIN_SCORED_TEXT = 15
@@ -39,17 +35,16 @@ def strip_blank(c: ColumnLike) -> Column:
     return F.regexp_replace(as_col(c), rf"^[{SPACE}]+|[{SPACE}]+$", "")
 
 
-def clean_text(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Column:
-    """Drop web addresses and symbols, squeeze blanks, then cut for the model.
+def clean_text(c: ColumnLike) -> Column:
+    """Drop web addresses and symbols, squeeze blanks; the whole text stays.
 
     Blanks and dropped characters both end up as one space, so one pass does for
-    the two.  The whole text is cleaned before the cut; ``None`` keeps all of it.
+    the two.  What a model can take in at once is the scorer's concern.
     """
     t = F.coalesce(as_col(c), F.lit(""))
     maybe_url = F.contains(t, F.lit("http")) | F.contains(t, F.lit("www."))
     t = F.when(maybe_url, F.regexp_replace(t, URL_PATTERN, "")).otherwise(t)
-    t = F.trim(F.regexp_replace(t, DROPPED_PATTERN, " "))
-    return t if max_chars is None else F.substring(t, 1, max_chars)
+    return F.trim(F.regexp_replace(t, DROPPED_PATTERN, " "))
 
 
 def only_if(c: Column, condition: Callable[[Column], Column]) -> Column:
@@ -61,9 +56,9 @@ def only_if(c: Column, condition: Callable[[Column], Column]) -> Column:
     return F.explode(F.filter(F.array(c), condition))
 
 
-def clean_text_rows(c: ColumnLike, max_chars: int | None = MODEL_TEXT_CHARS) -> Column:
+def clean_text_rows(c: ColumnLike) -> Column:
     """The cleaned text, without a row where nothing is left."""
-    return only_if(clean_text(c, max_chars), lambda t: t != "")
+    return only_if(clean_text(c), lambda t: t != "")
 
 
 def full_text(title: ColumnLike, summary: ColumnLike) -> Column:
@@ -72,21 +67,24 @@ def full_text(title: ColumnLike, summary: ColumnLike) -> Column:
     return strip_blank(F.concat(parts[0], F.lit(" "), parts[1]))
 
 
-def stored_text(c: ColumnLike) -> Column:
-    return F.substring(as_col(c), 1, STORED_TEXT_CHARS)
-
-
 def source_id(article_id: ColumnLike, url: ColumnLike, ticker: ColumnLike) -> Column:
-    """Article id, or its address when absent, cut and tagged with the ticker."""
+    """Article id, or its address when absent, tagged with the ticker.
+
+    It is a key, so all of it counts: long ids may differ in their last characters only.
+    """
     base = F.coalesce(as_col(article_id), as_col(url), F.lit(""))
-    return F.concat(F.substring(base, 1, SOURCE_ID_CHARS), F.lit("_"), as_col(ticker))
+    return F.concat(base, F.lit("_"), as_col(ticker))
 
 
-# What separates two text nodes: script and style blocks with their content,
-# comments, declarations, and tags (a quoted attribute may hold a '>').
+# What separates two text nodes: script, style and template blocks and ruby
+# annotations with their content, comments, declarations, and tags (a quoted
+# attribute may hold a '>').
 _MARKUP = (
     r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)"
     r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
+    r"|<rt\b[^>]*>.*?(?:</rt\s*>|(?=<rp\b|</ruby)|\z)"
+    r"|<rp\b[^>]*>.*?(?:</rp\s*>|(?=<rt\b|</ruby)|\z)"
     r"|<!--.*?(?:-->|\z)"
     r"|<[!?][^>]*>"
     r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+>"""
@@ -124,9 +122,7 @@ def _code_point(c: Column) -> Column:
 
 def _resolve_reference(token: Column) -> Column:
     body = F.rtrim(token, F.lit(";"))
-    name = F.substring(body, 2, 1 << 20)
-    digits = F.substring(body, 3, 1 << 20)
-    hex_digits = F.substring(body, 4, 1 << 20)
+    name, digits, hex_digits = (body.substr(F.lit(start), F.length(body)) for start in (2, 3, 4))
     named = F.from_json(F.lit(_named_references()), "map<string,string>")
     return (
         F.when(~token.startswith("&") | (token == "&"), token)

@@ -8,14 +8,12 @@ from pyspark.sql import functions as F
 from moodtape.functions.dates import first_date, parse_iso, parse_rfc822
 from moodtape.functions.numeric import ColumnLike, as_col
 from moodtape.functions.text import (
-    FEED_NAME_CHARS,
     MIN_FEED_TEXT,
     MIN_TICKER_TEXT,
     clean_html,
     full_text,
     only_if,
     source_id,
-    stored_text,
 )
 from moodtape.operators.dedup import first_per_key
 from moodtape.operators.matching import with_tickers
@@ -42,7 +40,7 @@ def _records(df: DataFrame, source: str, run_date: ColumnLike) -> DataFrame:
         "ticker",
         "published_at",
         as_col(run_date).cast("date").alias("collected_date"),
-        stored_text("text").alias("raw_text"),
+        F.col("text").alias("raw_text"),
         "author",
         F.lit(0).alias("upvotes"),
         "url",
@@ -64,21 +62,13 @@ def _feed_fields(items: DataFrame, least: int) -> DataFrame:
     )
 
 
-# Files in name order, then items in the order they stand in the file.
+# Files in name order, then items in the order they stand in the file; numbered where they are read.
 FEED_ORDER = ["file", "block", "_nth"]
 
 
-def _in_file_order(df: DataFrame) -> DataFrame:
-    """Number the rows inside each block, so that feed order survives a shuffle."""
-    return df.withColumn("_nth", F.monotonically_increasing_id())
-
-
 def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """Items of general feeds, matched to every ticker they mention."""
-    long_enough = _feed_fields(_in_file_order(items), MIN_FEED_TEXT)
-    # Equal digests mean equal texts, hence equal mentions.
-    keyed = long_enough.withColumn("_digest", F.sha2("text", 256))
-    matched = with_tickers(keyed, keywords, "text", key="_digest")
+    matched = with_tickers(_feed_fields(items, MIN_FEED_TEXT), keywords, "text")
     published = [parse_rfc822(c) for c in ("pubDate", "published", "updated", "created")]
     fields = matched.withColumns(
         {
@@ -86,7 +76,7 @@ def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, in
             "author": F.coalesce(
                 F.col("author"),
                 F.col("`dc:creator`"),
-                F.substring("feed_title", 1, FEED_NAME_CHARS),
+                F.col("feed_title"),
                 F.element_at(F.split("file", "/"), -1),
             ),
         }
@@ -96,7 +86,7 @@ def feed_records(items: DataFrame, keywords: DataFrame, run_date: ColumnLike, in
 
 def ticker_feed_records(items: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """Items of feeds that were searched per ticker; the ticker is given."""
-    long_enough = _feed_fields(_in_file_order(items), MIN_TICKER_TEXT)
+    long_enough = _feed_fields(items, MIN_TICKER_TEXT)
     published = [parse_rfc822(c) for c in ("pubDate", "published", "updated")]
     fields = long_enough.withColumns(
         {
@@ -134,5 +124,5 @@ def article_fields(articles: DataFrame) -> DataFrame:
 
 def json_records(articles: DataFrame, run_date: ColumnLike, ingest_ts: ColumnLike) -> DataFrame:
     """JSON articles landed per ticker."""
-    dated = article_fields(_in_file_order(articles)).withColumn("published_at", first_date([parse_iso("published")], ingest_ts))
+    dated = article_fields(articles).withColumn("published_at", first_date([parse_iso("published")], ingest_ts))
     return _records(dated, JSON_SOURCE, run_date)

@@ -1,19 +1,16 @@
 """Which tickers does a text mention?  Whole-word keyword search as an equi-join.
 
-A handful of keywords are plain conditions on the text.  For more, text and
-keyword are both cut into alternating runs of word and non-word characters.  A
-keyword occurs as a whole word exactly when its runs appear as consecutive runs
-of the text, so the search is a lookup of short run sequences ("grams") in the
-keyword table: no regular expression per keyword and no pairing of every text
-with every keyword.  ``M&M`` or ``BAJAJ-AUTO`` need no special case.
+Text and keyword are both cut into alternating runs of word and non-word
+characters.  A keyword occurs as a whole word exactly when its runs appear as
+consecutive runs of the text, so the search is a join of short run sequences
+("grams") with the keyword table, whatever the size of that table: no regular
+expression per keyword and no pairing of every text with every keyword.
+``M&M`` or ``BAJAJ-AUTO`` need no special case.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,13 +18,6 @@ from pyspark.sql import functions as F
 from moodtape.functions.numeric import ColumnLike, as_col
 from moodtape.functions.text import WORD
 
-# Up to so many keywords are tested one by one; up to so many are looked up
-# inside the row; more go through a join.
-TESTED_KEYWORDS = 64
-INLINE_KEYWORDS = 5000
-# Copies of the keyword table in that join, to split grams that most texts hold.
-SALTS = 16
-
 _WORD_START = rf"^[{WORD}]"
 
 
@@ -69,13 +59,6 @@ def _grams(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
     return F.array_distinct(F.concat(*single, *rest))
 
 
-def _mentions(text: Column, keyword: str) -> Column:
-    """Does the whole word occur?  The cheap substring test spares most texts the expression."""
-    before = rf"(?<![{WORD}])" if re.match(r"\w", keyword) else rf"(?<=[{WORD}])"
-    after = rf"(?![{WORD}])" if re.search(r"\w$", keyword) else rf"(?=[{WORD}])"
-    return F.contains(text, F.lit(keyword)) & text.rlike(before + re.escape(keyword) + after)
-
-
 def _prepared(keywords: DataFrame) -> DataFrame:
     key = F.upper("keyword")
     return (
@@ -88,53 +71,21 @@ def _prepared(keywords: DataFrame) -> DataFrame:
     )
 
 
-def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_text", key: str | None = None) -> DataFrame:
+def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_text") -> DataFrame:
     """One row per (input row, mentioned ticker); rows without a mention are dropped.
 
-    ``keywords`` has (ticker, keyword) rows.  Its size is checked: up to
-    ``INLINE_KEYWORDS`` are fetched and searched inside the row, in one of two
-    ways, without any shuffle.  A larger table is joined on the gram.  ``key`` must
-    then name a column that tells texts apart (an id or a digest; rows with equal
-    keys have equal texts).  Only ``key`` and the grams go through that join; the
-    keyword side is copied ``SALTS`` times and the text side spread over the
-    copies, so a gram found in most texts is split over many tasks.
+    ``keywords`` has (ticker, keyword) rows and stays a DataFrame: Spark decides by
+    its measured size whether to broadcast it, and splits the partition of a gram
+    that most texts hold.  Only the shapes of the keywords (run counts and ends)
+    come to the driver.  Mentions are found per digest of the text, as equal texts
+    have equal mentions; so only digests and grams meet the keywords, copies of a
+    text merge, and no key is asked of the rows.
     """
-    text = as_col(text)
     table = _prepared(keywords)
-    known = table.limit(INLINE_KEYWORDS + 1).collect()
-    if not known:
+    shapes = sorted(tuple(r) for r in table.select("n", "word_first", "word_last").distinct().collect())
+    if not shapes:
         return df.withColumn("ticker", F.lit(None).cast("string")).filter(F.lit(False))
-    upper = F.upper(F.coalesce(text, F.lit("")))
-
-    if len(known) <= TESTED_KEYWORDS:
-        by_ticker: dict[str, list[str]] = {}
-        for r in sorted(known, key=lambda r: (r["ticker"], r["gram"])):
-            by_ticker.setdefault(r["ticker"], []).append(r["gram"])
-        tests = [
-            F.when(reduce(or_, [_mentions(F.col("_upper"), g) for g in grams]), F.lit(ticker))
-            for ticker, grams in by_ticker.items()
-        ]
-        marked = df.withColumn("_upper", upper)
-        return marked.withColumn("ticker", F.explode(F.array_compact(F.array(*tests)))).drop("_upper")
-
-    if len(known) <= INLINE_KEYWORDS:
-        shapes = sorted({(r["n"], r["word_first"], r["word_last"]) for r in known})
-        by_gram: dict[str, list[str]] = {}
-        for r in sorted(known, key=lambda r: (r["gram"], r["ticker"])):
-            by_gram.setdefault(r["gram"], []).append(r["ticker"])
-        lookup = F.create_map(*[x for g, ts in by_gram.items() for x in (F.lit(g), F.array(*map(F.lit, ts)))])
-        hits = F.filter(_grams(upper, shapes), lambda g: g.isin(list(by_gram)))
-        found = F.array_distinct(F.flatten(F.transform(hits, lambda g: lookup[g])))
-        return df.withColumn("ticker", F.explode(found))
-
-    if key is None:
-        raise ValueError("a keyword table of this size needs key=, a unique column of the frame")
-    shapes = [tuple(r) for r in table.select("n", "word_first", "word_last").distinct().collect()]
-    # Copies of one text merge in the map tasks, so they neither shuffle nor pile up on one salt.
-    texts = df.select(key, upper.alias("_upper")).dropDuplicates([key])
-    grams = texts.select(key, F.explode(_grams(F.col("_upper"), shapes)).alias("gram")).withColumn(
-        "salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")
-    )
-    copies = table.select("ticker", "gram", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    pairs = grams.join(copies, ["gram", "salt"]).select(key, "ticker").distinct()
-    return df.join(pairs, key)
+    keyed = df.withColumn("_digest", F.sha2(as_col(text), 256))
+    grams = keyed.select("_digest", F.explode(_grams(F.upper(as_col(text)), shapes)).alias("gram"))
+    pairs = grams.join(table.select("ticker", "gram"), "gram").select("_digest", "ticker").distinct()
+    return keyed.drop("ticker").join(pairs, "_digest").drop("_digest")

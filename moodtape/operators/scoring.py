@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,28 +85,38 @@ def lexicon_probabilities(df: DataFrame, text: ColumnLike, lexicon: Lexicon = MA
 
 
 def batch_probabilities(
-    df: DataFrame, text: str, load_scorer: Callable[[], Scorer], batch_size: int = MODEL_BATCH
+    df: DataFrame,
+    text: str,
+    load_scorer: Callable[[], Scorer],
+    batch_size: int = MODEL_BATCH,
+    failed: Accumulator | None = None,
 ) -> DataFrame:
-    """Probabilities from any model, in Arrow batches on the executors.
+    """The other columns with probabilities from any model, in Arrow batches on the executors.
 
     ``load_scorer`` runs once per task; memoise it in its own module to load once
-    per worker process.  A batch the model fails on yields no rows, so its texts
-    stay unscored and the next run takes them up again.
+    per worker process.  A model that cannot be loaded fails the task.  A batch
+    the model fails on yields no rows, so its texts stay unscored and the next
+    run takes them up again; ``failed``, an accumulator, counts them.  The text
+    goes to the model whole and does not come back.
     """
-    schema = T.StructType(df.schema.fields + [T.StructField(p, T.DoubleType()) for p in PROBABILITIES])
+    kept = [f for f in df.schema.fields if f.name != text]
+    schema = T.StructType(kept + [T.StructField(p, T.DoubleType()) for p in PROBABILITIES])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = None
         for frame in frames:
+            if scorer is None and len(frame):
+                scorer = load_scorer()
             for start in range(0, len(frame), batch_size):
                 part = frame.iloc[start : start + batch_size]
                 try:
-                    scorer = scorer or load_scorer()
                     found = np.asarray(scorer(part[text].tolist()), dtype="float64")
                 except Exception:
                     log.exception("a batch of %d texts could not be scored", len(part))
+                    if failed is not None:
+                        failed.add(len(part))
                     continue
-                yield part.assign(**{p: found[:, i] for i, p in enumerate(PROBABILITIES)})
+                yield part.drop(columns=text).assign(**{p: found[:, i] for i, p in enumerate(PROBABILITIES)})
 
     return df.mapInPandas(run, schema)
 
@@ -137,23 +148,23 @@ def score_articles(
     day: str | None = None,
     load_scorer: Callable[[], Scorer] | None = None,
     lexicon: Lexicon = MARKET_LEXICON,
+    failed: Accumulator | None = None,
 ) -> DataFrame:
     """New ``sentiment_scored`` rows: select, clean, score, label.
 
-    With ``load_scorer`` the texts go through that model, cut to its input
-    length; without one the lexicon scorer reads the whole texts.
+    With ``load_scorer`` the texts go through that model, without one the
+    lexicon scorer reads them; either gets whole texts.
     """
-    limit = {} if load_scorer else {"max_chars": None}
     todo = unscored(raw, scored, day).select(
         F.col("id").alias("raw_id"),
         "ticker",
         "source",
         "upvotes",
         F.col("collected_date").alias("scored_date"),
-        clean_text_rows("raw_text", **limit).alias("_text"),
+        clean_text_rows("raw_text").alias("_text"),
     )
     found = (
-        batch_probabilities(todo, "_text", load_scorer) if load_scorer else lexicon_probabilities(todo, "_text", lexicon)
+        batch_probabilities(todo, "_text", load_scorer, failed=failed) if load_scorer else lexicon_probabilities(todo, "_text", lexicon)
     )
     return scores(found).drop("_text")
 

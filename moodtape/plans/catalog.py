@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from moodtape.dimensions import keywords_or_ticker, tracked, trading_rows, vendor_symbol
 from moodtape.functions.numeric import round_half_up
-from moodtape.functions.text import clean_html, clean_text, clean_text_rows
+from moodtape.functions.text import WORD, clean_html, clean_text, clean_text_rows
 from moodtape.operators import articles, bars, correlation, daily, dedup, matching, quality, scoring
 from moodtape.plans import views
-from moodtape.session import spread, work_path
+from moodtape.session import work_path
 from moodtape.sources import landing, star
 from moodtape.sources.tables import Tables
 from moodtape.streaming import articles as streams
@@ -292,6 +292,15 @@ def keyword_match(spark, d):
     return matching.with_tickers(star.documents(spark, d), star.keywords(spark)).select(F.col("id").alias("doc_id"), "ticker")
 
 
+def keyword_match_large(spark, d):
+    """A dictionary of all long words of the documents, thousands of them, by the same plan."""
+    docs = star.documents(spark, d)
+    word = F.explode(F.regexp_extract_all(F.upper("raw_text"), F.lit(rf"([{WORD}]+)"), 1))
+    words = docs.select(word.alias("keyword")).filter(F.length("keyword") >= 9).distinct()
+    dictionary = words.select(F.concat(F.lit("W"), F.substring("keyword", 1, 2)).alias("ticker"), "keyword")
+    return matching.with_tickers(docs, dictionary).select(F.col("id").alias("doc_id"), "ticker")
+
+
 def keyword_defaults(spark, d):
     """Tickers without keywords of their own are searched by their code."""
     known = keywords_or_ticker(star.tickers(spark, d), star.keywords(spark))
@@ -299,11 +308,7 @@ def keyword_defaults(spark, d):
 
 
 def clean_texts(spark, d):
-    docs = star.documents(spark, d)
-    whole = clean_text("raw_text", None)
-    return docs.select(
-        F.col("id").alias("doc_id"), clean_text("raw_text").alias("clean"), F.length(whole).alias("whole_chars")
-    )
+    return star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text("raw_text").alias("clean"))
 
 
 def html_text(spark, d):
@@ -311,7 +316,7 @@ def html_text(spark, d):
 
 
 def lexicon_scores(spark, d):
-    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text", None).alias("text"))
+    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text").alias("text"))
     found = scoring.lexicon_probabilities(docs, "text", DOCUMENT_LEXICON)
     return scoring.scores(found).drop("text")
 
@@ -338,7 +343,7 @@ def count_words():
 
 
 def batch_scoring(spark, d):
-    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text", None).alias("text"))
+    docs = star.documents(spark, d).select(F.col("id").alias("doc_id"), clean_text_rows("raw_text").alias("text"))
     found = scoring.batch_probabilities(docs, "text", count_words)
     return scoring.scores(found).drop("text")
 
@@ -387,7 +392,7 @@ def article_json(spark, d):
     ]
     docs = _landed_documents(spark, d)
     nested = docs.filter("lang = 'en'").select("ticker", F.concat(F.lit("a"), "doc_id").alias("id"), F.struct(*body).alias("content"))
-    flat = docs.filter("lang <> 'en'").select("ticker", *body)
+    flat = docs.filter("NOT lang <=> 'en'").select("ticker", *body)
     for part in (nested, flat):
         part.hint("rebalance", "ticker").write.mode("append").partitionBy("ticker").json(path)
     records = articles.json_records(landing.read_json_articles(spark, path), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS)))
@@ -413,7 +418,7 @@ def feed_news(spark, d):
     """Documents landed as general feeds, then matched to every ticker they mention."""
     path = work_path(spark, "news")
     items = _feed_items(spark, d).withColumnRenamed("source", "author").drop("ticker")
-    out = spread(items).write.format("xml")
+    out = items.write.format("xml")
     out.option("rootTag", "channel").option("rowTag", "item").save(path)
     records = articles.feed_records(
         landing.read_feed_items(spark, path), star.keywords(spark), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS))
@@ -534,6 +539,7 @@ QUERIES = {
         upsert_replace,
         sql_scan,
         keyword_match,
+        keyword_match_large,
         keyword_defaults,
         clean_texts,
         html_text,

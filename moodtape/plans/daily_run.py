@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -16,6 +17,9 @@ from moodtape.sources import landing
 from moodtape.sources.tables import Tables
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class Landing:
     """Where the files of each kind land; a missing path means none are expected.
@@ -27,6 +31,7 @@ class Landing:
     feeds: str | None = None
     ticker_feeds: str | None = None
     json_articles: str | None = None
+    json_multi_line: bool = False  # whether JSON articles are arrays over several lines
 
 
 def _of(path: str, run_date: str) -> str:
@@ -38,7 +43,8 @@ def _on(df: DataFrame, column: str, run_date: str) -> DataFrame:
 
 
 def collect_prices(tables: Tables, place: Landing, run_date: str, lookback_days: int = 1) -> int:
-    landed = landing.read_bar_files(tables.spark, place.bars).filter(F.col("run_date") == F.to_date(F.lit(run_date)))
+    # Only the run's own folder is read, so an odd file of another run can't break this one.
+    landed = landing.read_bar_files(tables.spark, _of(place.bars, run_date), place.bars)
     return tables.insert("price_daily", bars.collect_prices(landed, run_date, lookback_days))
 
 
@@ -57,7 +63,7 @@ def article_records(
         items = landing.read_ticker_feed_items(spark, _of(place.ticker_feeds, run_date))
         frames.append(articles.ticker_feed_records(items, day, now))
     if place.json_articles:
-        found = landing.read_json_articles(spark, _of(place.json_articles, run_date))
+        found = landing.read_json_articles(spark, _of(place.json_articles, run_date), place.json_multi_line)
         frames.append(articles.json_records(found, day, now))
     if not frames:
         raise ValueError("no article landing folder given")
@@ -74,10 +80,17 @@ def collect_articles(tables: Tables, place: Landing, run_date: str, ingest_ts: d
 def score(tables: Tables, run_date: str, load_scorer: Callable[[], scoring.Scorer] | None = None) -> int:
     """Score what the day collected and roll the day up."""
     # An article is scored under the date it was collected on, so one day of each table is enough.
+    failed = tables.spark.sparkContext.accumulator(0)
     fresh = scoring.score_articles(
-        tables.read("raw_sentiment"), _on(tables.read("sentiment_scored"), "scored_date", run_date), run_date, load_scorer
+        tables.read("raw_sentiment"),
+        _on(tables.read("sentiment_scored"), "scored_date", run_date),
+        run_date,
+        load_scorer,
+        failed=failed,
     )
     n = tables.append("sentiment_scored", fresh)
+    if failed.value:
+        log.warning("%d texts of %s could not be scored and stay unscored", failed.value, run_date)
     rows = daily.daily_sentiment(_on(tables.read("sentiment_scored"), "scored_date", run_date))
     tables.replace("daily_sentiment", rows, ["ticker", "sentiment_date"])
     return n

@@ -421,12 +421,14 @@ ORACLE: dict[str, str] = {
         where date >= date '2024-01-10' and total_mentions >= 3""",
         "joined",
     ),
+    "keyword_match_large": f"""select distinct doc_id, 'W' || substr(word, 1, 2) ticker from
+        (select doc_id, unnest(regexp_extract_all(upper(replace(text, 'ß', 'ss')), '[{WORD}]+')) word from documents) where length(word) >= 9""",
     "keyword_match": query("select * from matches", matches=MATCHES),
     "keyword_defaults": query(
         "select distinct ticker, upper(coalesce(keyword, ticker)) keyword from tickers left join keywords using (ticker)",
         "tickers", keywords=KEYWORDS,
     ),
-    "clean_text": query("select doc_id, substr(clean, 1, 800) clean, length(clean) whole_chars from docs", docs=DOCUMENTS),
+    "clean_text": query("select doc_id, clean from docs", docs=DOCUMENTS),
     "html_text": f"""select page_id, array_to_string(list_filter(list_transform(string_split_regex(html, {quote(MARKUP)}),
         lambda x: {stripped(unescaped('x'))}), lambda x: x <> ''), ' ') as text from pages""",
     "lexicon_scores": query(lexicon_sql("docs", "doc_id"), docs=DOCUMENTS),
@@ -438,21 +440,21 @@ ORACLE: dict[str, str] = {
     ),
     "article_json": query(
         f"""select 'yahoo_finance' as source, case when lang = 'en' then 'a' || doc_id::varchar else url end || '_' || ticker source_id,
-        ticker, published_at, date '{catalog.AS_OF}' collected_date, substr(full_text, 1, 4000) raw_text, source author,
+        ticker, published_at, date '{catalog.AS_OF}' collected_date, full_text raw_text, source author,
         0 upvotes, url from (select *, {stripped("title || ' ' || body")} full_text from landed) where length(full_text) >= 15""",
         landed=LANDED,
     ),
     "feed_xml": query(
         f"""select 'google_news' as source,
         case when doc_id % 2 = 0 then 'g' || doc_id::varchar else url end || '_' || ticker source_id,
-        ticker, published_at, date '{catalog.AS_OF}' collected_date, substr(full_text, 1, 4000) raw_text, 'Google News' author,
+        ticker, published_at, date '{catalog.AS_OF}' collected_date, full_text raw_text, 'Google News' author,
         0 upvotes, url from (select *, {stripped("title || ' ' || " + stripped("body"))} full_text from landed)
         where length(full_text) >= 15""",
         landed=LANDED,
     ),
     "feed_news": query(
         """select 'news' as source, case when doc_id % 2 = 0 then 'g' || doc_id::varchar else url end || '_' || m.ticker source_id,
-        m.ticker, published_at, collected_date, substr(full_text, 1, 4000) raw_text, author, 0 upvotes, url
+        m.ticker, published_at, collected_date, full_text raw_text, author, 0 upvotes, url
         from texts join found m using (doc_id)""",
         landed=LANDED,
         texts=f"""select * from (select doc_id, url, published_at, source author, date '{catalog.AS_OF}' collected_date,

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from moodtape.operators.correlation import joined_series
 from moodtape.operators.dedup import first_per_key
 
-# Accepted ranges of the query parameters.
-MAX_DAYS = 365
-MAX_TOP = 25
+# Fixed value: look-back of the overview.
 OVERVIEW_DAYS = 30
 
 SENTIMENT_FIELDS = [
@@ -35,8 +33,8 @@ CORRELATION_FIELDS = [
 
 def _since(as_of: str, days: int) -> Column:
     """First day of a look-back of ``days`` that ends at ``as_of``."""
-    if not 1 <= days <= MAX_DAYS:
-        raise ValueError(f"days must be between 1 and {MAX_DAYS}, got {days}")
+    if days < 1:
+        raise ValueError(f"days must be at least 1, got {days}")
     return F.date_sub(F.to_date(F.lit(as_of)), days)
 
 
@@ -78,8 +76,9 @@ def sentiment_price(daily: DataFrame, prices: DataFrame) -> DataFrame:
 
 def latest_correlations(correlations: DataFrame, tickers: DataFrame) -> DataFrame:
     """All tickers on the newest analysis date of the table, strongest first."""
-    newest = correlations.agg(F.max("analysis_date").alias("analysis_date"))
-    current = correlations.join(newest, "analysis_date", "left_semi")
+    # A scalar subquery, not a join: its value prunes the table's days at the scan.
+    newest = correlations.agg(F.max("analysis_date")).scalar()
+    current = correlations.where(F.col("analysis_date") == newest)
     named = current.join(tickers.select("ticker", "company_name", "sector"), "ticker")
     return named.orderBy(F.abs("optimal_lag_corr").desc_nulls_last(), "ticker")
 
@@ -141,8 +140,8 @@ def latest_correlation(correlations: DataFrame, tickers: DataFrame, ticker: str
 
 
 def top_correlations(correlations: DataFrame, tickers: DataFrame, k: int = 10) -> DataFrame:
-    if not 1 <= k <= MAX_TOP:
-        raise ValueError(f"k must be between 1 and {MAX_TOP}, got {k}")
+    if k < 1:
+        raise ValueError(f"k must be at least 1, got {k}")
     return latest_correlations(correlations, tickers).limit(k)
 
 

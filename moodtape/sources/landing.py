@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +25,45 @@ def snake_names(df: DataFrame) -> DataFrame:
     return df.select(*flat)
 
 
-def read_bar_files(spark: SparkSession, path: str) -> DataFrame:
-    """Bars from CSV with a header, columns matched by name, with ticker and run_date.
+def _decoded(path: Column) -> Column:
+    """A file's path as it was written; ``_metadata`` shows it URL-encoded."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _layouts(spark: SparkSession, path: str, base: str) -> list[tuple[str, list[str]]]:
+    """Header lines and the files that begin with each.  As many rows as there are files, which a scan lists anyway."""
+    lines = spark.read.option("basePath", base).text(path).select(
+        "value", _decoded(F.col("_metadata.file_path")).alias("file"), F.struct(*_position()[1:]).alias("at")
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    return [(r["header"], r["files"]) for r in found.collect()]
+
 
-    Both come from the folders (``run_date=…/ticker=…``) when the files were
-    written that way, else from the file name.
+def read_bar_files(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
+    """Bars from CSV with a header, with ticker and run_date.
+
+    Columns are matched by name, file by file: files of one layout are read
+    together, and a column that a layout lacks is NULL in its rows.  Ticker and
+    run date come from the folders below ``base`` (``run_date=…/ticker=…``) when
+    the files were written that way, else from the file name; both are read as
+    declared, so a ticker keeps its leading zeros.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    bars = snake_names(raw.withColumn("_file", file))
+    base = (base or path).rstrip("/")
+    parts = []
+    for header, files in _layouts(spark, path, base):
+        names = [n.strip().strip('"') for n in header.lstrip("\ufeff").split(",")]
+        below = [c for c in ("run_date", "ticker") if all(f"/{c}=" in f for f in files)]
+        schema = ", ".join([f"`{n}` string" for n in names] + [f"{c} string" for c in below])
+        raw = spark.read.schema(schema).option("header", True).option("basePath", base).csv(files)
+        parts.append(_bars_of(raw.withColumn("_file", _decoded(F.col("_metadata.file_path")))))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([T.StructField("ticker", T.StringType()), T.StructField("run_date", T.DateType()), *BAR_FILE.fields]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _bars_of(raw: DataFrame) -> DataFrame:
+    bars = snake_names(raw)
     found = set(bars.columns)
 
     def from_name(column: str, group: int):
@@ -47,7 +79,7 @@ def read_bar_files(spark: SparkSession, path: str) -> DataFrame:
         from_name("run_date", 2).cast("date").alias("run_date"),
         F.substring("date", 1, 10).try_cast("date").alias("date"),
         *values,
-        F.col("volume").try_cast("double").cast("bigint").alias("volume"),
+        (F.col("volume") if "volume" in found else F.lit(None)).try_cast("double").cast("bigint").alias("volume"),
     )
 
 
@@ -59,8 +91,15 @@ def write_bar_files(bars: DataFrame, path: str) -> None:
 
 
 def _position() -> list[Column]:
-    """Where a row was read from; with the row order inside the block, this is the feed order."""
-    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    """Where a row was read from, and its number within the read block: the feed order.
+
+    Taken at the scan, as a number given after a shuffle says nothing about the file.
+    """
+    return [
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("_nth"),
+    ]
 
 
 def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
@@ -72,10 +111,11 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
 
     items = xml("item", FEED_ITEM).select("*", *_position())
-    file = F.col("_metadata.file_path").alias("file")
-    channel = T.StructType([T.StructField("title", T.StringType())])
-    titles = xml("channel", channel).select(F.col("title").alias("feed_title"), file)
-    return items.join(titles.groupBy("file").agg(F.first("feed_title", True).alias("feed_title")), "file", "left")
+    # A feed's own title is the first of its file; read by that tag, no row holds a whole channel.
+    title = T.StructType([T.StructField("_VALUE", T.StringType())])
+    titles = xml("title", title).select("_VALUE", *_position())
+    first = titles.groupBy("file").agg(F.min_by("_VALUE", F.struct("block", "_nth")).alias("feed_title"))
+    return items.join(first, "file", "left")
 
 
 def read_ticker_feed_items(spark: SparkSession, path: str) -> DataFrame:
@@ -89,10 +129,11 @@ def read_json_articles(spark: SparkSession, path: str, multi_line: bool = False)
     """Nested JSON articles landed per ticker, in folders ``ticker=…``.
 
     Use one article per line where possible: such files split over tasks, a
-    multi-line array does not.
+    multi-line array does not.  A record that cannot be parsed fails the read, as
+    do arrays over several lines read without ``multi_line``.
     """
     schema = T.StructType(ARTICLE.fields + [T.StructField("ticker", T.StringType())])
-    articles = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    articles = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
     return articles.select("*", *_position())
 
 

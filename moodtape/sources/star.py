@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from moodtape.functions.numeric import round_half_up
 from moodtape.operators.bars import price_rows
 from moodtape.operators.daily import daily_sentiment
-from moodtape.session import spread
 
 FIRST_DAY = "2024-01-01"
 DAYS = 30
@@ -155,12 +154,12 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages").select("page_id", "html"))
+    return table(spark, folder, "pages").select("page_id", "html")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as articles collected over a month."""
-    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
     return docs.select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("raw_text"),

@@ -175,10 +175,10 @@ def test_daily_sentiment(spark):
 
 def test_parameter_ranges(spark):
     df, prices = frames(spark, *random_market(1))
-    for days in (0, 366):
+    for days in (0, -1):
         with pytest.raises(ValueError):
             views.price_history(prices, "2026-01-30", days)
-    for k in (0, 26):
+    for k in (0, -1):
         with pytest.raises(ValueError):
             views.top_correlations(df, df, k)
 
