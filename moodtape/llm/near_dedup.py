@@ -316,14 +316,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     bands = _bands(nodes)
     stats = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = staged(bands.join(stats, "bucket"), "members")
-    links = _first_links(members, nodes, docs, words, percent)
+    # Few nodes share a bucket with another; the registers of all others are not shuffled again.
+    sharing = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "sharing-nodes")
+    links = _first_links(members, sharing, docs, words, percent)
     # a doc_id with several different sets ties them together
     several = sketches.where("doc_id IS NOT NULL").groupBy("doc_id")
     several = several.agg(F.count_distinct(F.coalesce("set_hash", F.lit(b""))).alias("sets")).where("sets > 1").drop("sets")
     several = staged(several, "several-sets")
     tied = sketches.join(several, "doc_id").join(nodes.select("set_hash", "node"), "set_hash")
     found = components(links.unionByName(tied.select(F.col("node").alias("low"), F.col("doc_id").alias("high"))))
-    more = staged(_later_links(members, found, nodes, docs, words, percent), "later-links")
+    more = staged(_later_links(members, found, sharing, docs, words, percent), "later-links")
     if not more.isEmpty():
         stars = found.select(F.col("component").alias("low"), F.col("node").alias("high"))
         found = components(more.unionByName(stars))
