@@ -8,7 +8,8 @@ neighbours are all compatible is the one that merging gives.
 
 Words repeat, so chunks (a run of spaces and the word after it) are looked up in a bounded table first; that is exact
 as no piece continues over a space, which is checked when the model is loaded, and without that property the whole
-text is one chunk.  Characters in no piece split a chunk and become byte pieces.  Decoding is the library's.
+text is one chunk.  A chunk not known yet is split where two neighbouring characters stand in no piece together, as no
+merge can join them there; characters in no piece become byte pieces.  Decoding is the library's.
 
 Edge cases.  A null text encodes like an empty one: the end id alone.  Texts of any length are encoded whole; ties
 between merges go to the left one, as in the library.  Rows are independent, so repeated rows and empty tables need
@@ -32,7 +33,7 @@ SPACE = "▁"
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Entries of the table of known neighbours, which is emptied when full, and of each of the two tables of known
 #: chunks: the newer one, when full, becomes the older one, and what is found there moves back.
-TABLE = 250_000
+TABLE = 350_000
 
 
 class MergeEncoder:
@@ -55,7 +56,7 @@ class MergeEncoder:
         for c in letters:  # a character that only occurs within pieces
             if c not in self.output:
                 self.output[c] = self._as_bytes(c)
-        self.known = re.compile(f"[{re.escape(''.join(letters))}]+")
+        self.pairs = {pair for piece in self.score for pair in zip(piece, piece[1:])}
         self.over_space = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score)
         self.trie = ahocorasick.Automaton()
         for piece in self.output:
@@ -129,22 +130,26 @@ class MergeEncoder:
 
     def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str]:
         """Ids of a chunk and their decimal text."""
-        known = self.chunks.get(chunk)
+        known = self.chunks.get(chunk) or self.older.get(chunk)
         if known is None:
-            known = self.older.get(chunk)
-            if known is not None:
-                return self._remember(chunk, known)
-            if self.known.fullmatch(chunk):
-                ids = tuple(chain.from_iterable(self.output[p] for p in self.segment(chunk)))
-            else:  # the parts are worth remembering, the whole is not
-                parts, at = [], 0
-                for m in self.known.finditer(chunk):
-                    parts += [self._as_bytes(chunk[at : m.start()]), self._chunk(m.group())[0]]
-                    at = m.end()
-                ids = tuple(chain.from_iterable([*parts, self._as_bytes(chunk[at:])]))
-                return ids, " ".join(map(str, ids))
-            known = self._remember(chunk, (ids, " ".join(map(str, ids))))
-        return known
+            parts, start = [], 0
+            for k, pair in enumerate(zip(chunk, chunk[1:]), 1):
+                if pair not in self.pairs:  # no piece holds these neighbours, so no merge joins them
+                    parts.append(chunk[start:k])
+                    start = k
+            if start:
+                parts.append(chunk[start:])
+                ids = tuple(chain.from_iterable([self._chunk(p)[0] for p in parts]))
+                if len(parts) > 3:
+                    return ids, " ".join(map(str, ids))
+            elif len(chunk) == 1 and chunk not in self.output:
+                ids = self._as_bytes(chunk)
+            else:
+                ids = tuple(chain.from_iterable([self.output[p] for p in self.segment(chunk)]))
+            known = (ids, " ".join(map(str, ids)))
+        elif chunk in self.chunks:
+            return known
+        return self._remember(chunk, known)
 
     def _remember(self, chunk: str, value: tuple[tuple[int, ...], str]) -> tuple[tuple[int, ...], str]:
         if len(self.chunks) >= TABLE:
