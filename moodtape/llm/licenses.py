@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from moodtape.llm.common import whole_text
+from moodtape.llm.common import staged, whole_text
 
 LIMIT = 0.8
 
@@ -125,7 +125,7 @@ def _ranges(sizes: list[int], low: float, high: float) -> list[tuple[float, floa
 def find_licenses(docs: DataFrame, limit: float = LIMIT, templates: list[tuple[str, str]] | None = None) -> DataFrame:
     """doc_id, license, score (the best Dice coefficient), n_passages (different passages that reach the limit)."""
     templates = templates or TEMPLATES
-    known = _templates(docs, templates)
+    known = staged(_templates(docs, templates), "license-bigrams")  # as a file its small size is known, and it is broadcast
     low, high = limit / (2 - limit), (2 - limit) / limit
     size = F.size("words") - 1
     fits = F.lit(False)
