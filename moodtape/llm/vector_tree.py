@@ -7,8 +7,9 @@ driver, with leaves for about ``LEAF_ENTRIES`` entries as far as the sample can
 Search.  A query walks the tree through a priority queue: the best child is followed, the others wait by their score,
 and leaves come out in the order in which they are visited.  How many leaves are visited is calibrated: the exact
 neighbours of a bounded sample of queries (``calibration_queries``, against all entries, in blocks) tell at which
-number of leaves the recall reaches ``recall``; ``margin`` more are visited.  Queries and leaves meet in one join on
-the leaf, large leaves split into blocks, each block scored by one matrix product.  Scores that can reach the answer
+number of leaves the recall reaches ``recall``; ``margin`` more are visited.  Queries meet the leaves in groups of
+neighbouring leaves, about ``BLOCK`` entries each and larger leaves split, each scored by one matrix product of which
+only the visited leaves count.  Scores that can reach the answer
 are computed anew in double precision, the same way for every pair, so equal vectors tie exactly.
 
 Edge cases.  Vectors that are null or zero, or hold null or non-finite components, take no part, nor does a null id;
@@ -123,15 +124,21 @@ def _exact(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=1)
 
 
-def _best(queries: np.ndarray, query_ids, vectors: np.ndarray, ids, top: int) -> Iterator[tuple[int, int, float]]:
-    """For each query the entries of a block that can be among its ``top``; ids are lists of equal vectors' ids."""
+def _best(queries: np.ndarray, query_ids, vectors: np.ndarray, ids, top: int, visited=None) -> Iterator[tuple[int, int, float]]:
+    """For each query the entries of a block that can be among its ``top``; ids are lists of equal vectors' ids.
+
+    ``visited`` says which entries each query looks at; without it, all.
+    """
     rough = queries @ vectors.T
+    if visited is not None:
+        rough[~visited] = -np.inf
     for row, query_id, q in zip(rough, query_ids, queries):
-        at = np.arange(len(row))
+        at = np.flatnonzero(row > -np.inf)
         if len(row) > top + 1:
             # one more than asked for, as one entry may be the query alone
             limit = np.partition(row, len(row) - top - 1)[len(row) - top - 1]
-            at = np.flatnonzero(row >= limit - _CLOSE * (1 + abs(limit)))
+            if limit > -np.inf:
+                at = np.flatnonzero(row >= limit - _CLOSE * (1 + abs(limit)))
         found = []
         for k, score in zip(at, _exact(q, vectors[at])):
             found += [(-score, int(i)) for i in ids[k] if i != query_id]
@@ -169,34 +176,54 @@ def nearest(rows: DataFrame, queries: DataFrame, key="vec_id", vector="embedding
         reached = _calibrate(index, asked, tree, top, calibration_queries, recall)
         visits = min(tree.leaves, int(np.ceil(reached * margin)))
 
+    # Leaves next to each other in the tree make groups of about a block of entries; a larger leaf is a group of several
+    # blocks. There are as many rows as leaves, which the sample bounds.
+    sizes = dict(index.groupBy("leaf").agg(F.count("*").alias("n")).collect())
+    group_of, held = np.zeros(tree.leaves, np.int64), [0]
+    for leaf in range(tree.leaves):
+        if held[-1] and held[-1] + sizes.get(leaf, 0) > block:
+            held.append(0)
+        held[-1] += sizes.get(leaf, 0)
+        group_of[leaf] = len(held) - 1
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            leaves = [tree.leaves_in_order(np.asarray(v, float), visits) for v in batch["vector"]]
-            yield batch.assign(leaf=leaves)
+            visits_of = []
+            for v in batch["vector"]:
+                groups: dict[int, list[int]] = {}
+                for leaf in tree.leaves_in_order(np.asarray(v, float), visits):
+                    groups.setdefault(int(group_of[leaf]), []).append(leaf)
+                visits_of.append([{"group": g, "leaves": leaves} for g, leaves in groups.items()])
+            yield batch.assign(visits=visits_of)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int, float]] = []
         if len(right):
-            vectors = _matrix(right["vector"])
-            for start in range(0, len(left), 512):
-                part = left[start : start + 512]
-                found += _best(_matrix(part["vector"]), part["query_id"], vectors, right["ids"].tolist(), top)
+            vectors, leaves, ids = _matrix(right["vector"]), right["leaf"].to_numpy(), right["ids"].tolist()
+            for start in range(0, len(left), 256):
+                part = left[start : start + 256]
+                visited = np.zeros((len(part), tree.leaves), bool)
+                for row, own in enumerate(part["leaves"]):
+                    visited[row, own] = True
+                found += _best(_matrix(part["vector"]), part["query_id"], vectors, ids, top, visited[:, leaves])
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    # A leaf is cut into blocks of entries, its queries into blocks of queries; every two blocks meet in one task.
-    sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    walked = asked.mapInPandas(walk, "query_id long, vector array<double>, leaf array<long>")
-    walked = staged(walked.select("query_id", "vector", F.explode("leaf").alias("leaf")), "vector-visits")
-    groups = walked.groupBy("leaf").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
-    plan = staged(sizes.join(groups, "leaf"), "vector-blocks")
-    keys = ["leaf", "block", "part"]
+    # A group is cut into blocks of entries, its queries into parts; every two of them meet in one task.
+    walked = asked.mapInPandas(walk, "query_id long, vector array<double>, visits array<struct<group: long, leaves: array<int>>>")
+    walked = walked.select("query_id", "vector", F.explode("visits").alias("visit")).select("query_id", "vector", "visit.*")
+    walked = staged(walked, "vector-visits")
+    parts = walked.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    blocks = [(g, max(1, -(-n // (2 * block)))) for g, n in enumerate(held)]
+    plan = staged(parts.join(spark.createDataFrame(blocks, "group long, blocks int"), "group"), "vector-blocks")
+    placed = index.withColumn("group", F.element_at(F.array(*[F.lit(int(g)) for g in group_of]), (F.col("leaf") + 1).cast("int")).cast("long"))
+    keys = ["group", "block", "part"]
 
     def every(n: str):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    left = walked.join(plan, "leaf").select("leaf", every("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "groups").cast("int").alias("part"), "query_id", "vector")
-    right = index.join(plan, "leaf").select("leaf", F.pmod(F.xxhash64("vector"), "blocks").cast("int").alias("block"), every("groups").alias("part"), "ids", "vector")
-    left = left.toDF("leaf", "block", "part", "query_id", "vector")
+    left = walked.join(plan, "group").select("group", every("blocks").alias("block"), F.pmod(F.xxhash64("query_id"), "parts").cast("int").alias("part"), "query_id", "vector", "leaves")
+    right = placed.join(plan, "group").select("group", F.pmod(F.xxhash64("vector"), "blocks").cast("int").alias("block"), every("parts").alias("part"), "ids", "vector", "leaf")
+    left = left.toDF(*keys, "query_id", "vector", "leaves")
     met = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= top)
