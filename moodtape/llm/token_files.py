@@ -9,8 +9,8 @@ Documents are written in ascending doc_id order: a range exchange of the texts,
 in that order in Arrow batches.  A row stores its start within its part; the start in the whole corpus adds the sums
 of the parts before, a table of one row per part.  No part needs another one, so a lost executor costs its parts only.
 
-Words repeat, so the ids of a piece of text between blanks are looked up in a bounded table first.  That is exact for
-tokenizers that drop white space and never join over it, as the one used here; ``whole_texts`` turns it off.
+Runs of letters repeat, so their ids are looked up in a bounded table first.  That is exact for the tokenizer used here,
+which lower-cases, drops white space and cuts a text into such runs; ``whole_texts`` turns it off for others.
 
 Edge cases.  A null text has the end id alone.  A null doc_id comes first.  Rows with equal doc_id are ordered by a
 hash of their text; equal rows are interchangeable.  Long texts are written whole; a batch is cut by its number of
@@ -20,6 +20,7 @@ ids.  An empty table gives files without rows.  Columns other than doc_id and te
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -35,16 +36,17 @@ from moodtape.llm.common import whole_text
 ROW_GROUP_BYTES, PAGE_BYTES, PAGE_ROWS = 32 << 20, 64 << 10, 2000
 BATCH_IDS = 1 << 21
 LEARN_CHARS = 1 << 20
-#: Entries after which the newer of two tables of known words becomes the older one; what is found there moves back.
-TABLE = 300_000
+#: Entries after which the newer of two tables of known runs becomes the older one; what is found there moves back.
+TABLE = 350_000
 
 
-class WordTable:
-    """Ids of texts as little-endian 32-bit integers, word by word.
+class RunTable:
+    """Ids of texts as little-endian 32-bit integers, put together from those of their runs.
 
-    ``learn`` makes the ids of the words of some texts that are not known yet.  Words of letters alone, lower-cased
-    and without the commas and full stops at their end, are encoded many at a time, one blank between; the token that
-    ends a word tells where each one's ids stop.  All others are encoded alone.
+    The tokenizer first cuts a text into runs (letters, one digit, other signs, short endings such as 's), whose ids
+    don't depend on each other; a table holds the runs known so far.  New runs are encoded many at a time, one blank
+    between; the token that ends a run tells where each one's ids stop.  Where a text holds anything whose runs this
+    module doesn't make for sure as the tokenizer does, it is cut at blanks, and such words are encoded alone.
     """
 
     def __init__(self, path: str, whole_texts: bool = False):
@@ -56,94 +58,93 @@ class WordTable:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _lookup(self, word: str) -> bytes | None:
-        found = self.known.get(word)
-        if found is None:
-            found = self.older.get(word)
-            if found is not None:
-                self.known[word] = found
-        return found
-
-    def learn(self, texts: list[str]) -> None:
+    def _units(self, text: str) -> list[str]:
+        runs = _runs(text)
+        if runs is not None:
+            return runs
+        out: list[str] = []
+        for word in text.replace("\n", " ").split(" "):
+            runs = _runs(word)
+            if runs is None:
+                if word not in self.known:
+                    self.known[word] = self._ids(word).tobytes()
+                runs = [word]
+            out += runs
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         if self.whole:
-            return
+            return [self._ids(text).tobytes() for text in texts]
         if len(self.known) >= TABLE:
-            self.older, self.known = self.known, {"": b""}
-        new: set[str] = set()
+            self.older, self.known = self.known, {}
+        known, new, found = self.known.get, set(), []
         for text in texts:
-            new.update(set(_words(text)).difference(self.known))
-        parts: list[tuple[str, str, str]] = []
-        simple: set[str] = set()
-        for word in new:
-            if self._lookup(word) is not None:
-                continue
-            base = word.rstrip(".,")
-            if _letters_only(base):
-                tail, base = word[len(base) :], base.lower() if base.isascii() else base
-                parts.append((word, base, tail))
-                if self._lookup(base) is None:
-                    simple.add(base)
-            else:
-                self.known[word] = self._ids(word).tobytes()
-        todo = list(simple)
+            units = self._units(text)
+            ids = list(map(known, units))
+            missing = None in ids
+            if missing:
+                new.update(unit for unit, i in zip(units, ids) if i is None)
+            found.append((units, None) if missing else (None, b"".join(ids)))
+        self._learn(new)
+        known = self.known.__getitem__
+        return [b"".join(map(known, units)) if ids is None else ids for units, ids in found]
+
+    def _learn(self, new: set[str]) -> None:
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        todo = list(new.difference(again))
         for start in range(0, len(todo), 1000):
-            self._learn_together(todo[start : start + 1000])
-        for word, base, tail in parts:
-            if tail and self._lookup(tail) is None:
-                self.known[tail] = self._ids(tail).tobytes()
-            self.known[word] = self.known[base] + self.known[tail]
-
-    def _learn_together(self, words: list[str]) -> None:
-        ids = self._ids(" ".join(words))
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words):
-            for word in words:
-                self.known[word] = self._ids(word).tobytes()
-            return
-        start = 0
-        for word, stop in zip(words, stops.tolist()):
-            self.known[word] = ids[start:stop].tobytes()
-            start = stop
-
-    def encode(self, text: str) -> bytes:
-        """The ids of one of the texts that were learned last."""
-        if self.whole:
-            return self._ids(text).tobytes()
-        return b"".join(map(self.known.__getitem__, _words(text)))
+            runs = todo[start : start + 1000]
+            ids = self._ids(" ".join(runs))
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) == len(runs):
+                raw = ids.tobytes()
+                self.known.update((run, raw[a:b]) for run, a, b in zip(runs, [0, *stops], stops))
+            else:
+                self.known.update((run, self._ids(run).tobytes()) for run in runs)
 
 
-def _words(text: str) -> list[str]:
-    return text.replace("\n", " ").split(" ")
+# The tokenizer's own runs, in lower case: for printable ASCII, and with other letters.
+_ASCII_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+_LETTER_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+_UNSURE = re.compile(r"[\x00-\x08\x0b-\x1f\x7f]|<\|")
 
 
-def _letters_only(word: str) -> bool:
-    """Whether the word is one run of letters for the tokenizer too, whatever normalisation does to it."""
-    return word.isalpha() and (word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower().isalpha()))
+def _runs(text: str) -> list[str] | None:
+    """The tokenizer's runs of a text, or None where they aren't sure: control characters, special tokens, and letters
+    that normalisation could join, or that aren't one letter when lower-cased."""
+    if _UNSURE.search(text):
+        return None
+    if text.isascii():
+        return _ASCII_RUNS.findall(text.lower())
+    for c in set(text):
+        if c > "\x7f" and not (c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha() and c != "Σ"):
+            return None
+    return _LETTER_RUNS.findall(text.lower()) if unicodedata.is_normalized("NFC", text) else None
 
 
 @lru_cache(1)
-def _table(path: str, whole_texts: bool) -> WordTable:
-    return WordTable(path, whole_texts)
+def _table(path: str, whole_texts: bool) -> RunTable:
+    return RunTable(path, whole_texts)
 
 
-def _learned(table: WordTable, column: pa.Array) -> Iterator[str]:
-    """The texts of a column; about a million characters at a time are learned first."""
+def _encoded(table: RunTable, column: pa.Array) -> Iterator[bytes]:
+    """The ids of a column's texts, about a million characters at a time."""
     held, size = [], 0
     for value in column:
         held.append(value.as_py())
         size += len(held[-1])
         if size >= LEARN_CHARS:
-            table.learn(held)
-            yield from held
+            yield from table.encode_all(held)
             held, size = [], 0
-    table.learn(held)
-    yield from held
+    yield from table.encode_all(held)
 
 
 def write_tokens(
@@ -176,8 +177,8 @@ def write_tokens(
 
         for rows in batches:
             start, held, encoded = 0, 0, []
-            for text in _learned(table, rows.column("text")):
-                encoded.append(table.encode(text) + end)
+            for ids in _encoded(table, rows.column("text")):
+                encoded.append(ids + end)
                 held += len(encoded[-1]) // 4
                 if held >= BATCH_IDS:
                     stop = start + len(encoded)
