@@ -19,6 +19,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def first_by_unique(df: DataFrame, keys: Sequence[str], unique: str) -> DataFrame:
+    """As ``first_per_key`` where one column orders the rows and is unique.
+
+    Only the keys and that column are shuffled to find the first rows; the rows
+    themselves then meet nothing but the ids of those.
+    """
+    first = df.groupBy(*keys).agg(F.min(unique).alias(unique)).select(unique)
+    return df.join(first, unique, "left_semi")
+
+
 def first_per_full_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """As ``first_per_key``, but rows with a NULL in the key are all kept.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +42,10 @@ def _sectors(spark: SparkSession, d: str) -> DataFrame:
     return views.sector_sentiment(star.daily(spark, d), star.prices(spark, d), star.tickers(spark, d))
 
 
-def _calendar(spark: SparkSession) -> DataFrame:
-    first = F.to_date(F.lit(star.FIRST_DAY))
-    return spark.range(1).select(F.explode(F.sequence(first, F.date_add(first, star.DAYS - 1))).alias("run_date"))
+def _days_of(*tables: tuple[DataFrame, str]) -> DataFrame:
+    """Every day from the first to the last one that any of the tables holds, days without rows included."""
+    days = reduce(DataFrame.union, [quality.run_dates(df, column) for df, column in tables])
+    return days.agg(F.explode(F.sequence(F.min("run_date"), F.max("run_date"))).alias("run_date"))
 
 
 def _stable(df: DataFrame, *columns: str) -> DataFrame:
@@ -209,17 +212,20 @@ def source_totals(spark, d):
 
 
 def _all_checks(spark, d):
-    return quality.all_checks(
-        star.prices(spark, d), star.raw_articles(spark, d), star.scored_articles(spark, d), star.daily(spark, d), _calendar(spark)
-    )
+    prices, raw = star.prices(spark, d), star.raw_articles(spark, d)
+    days = _days_of((prices, "trade_date"), (raw, "collected_date"))
+    return quality.all_checks(prices, raw, star.scored_articles(spark, d), star.daily(spark, d), days)
 
 
 def quality_collection(spark, d):
-    return quality.collection_checks(star.prices(spark, d), star.raw_articles(spark, d), _calendar(spark))
+    prices, raw = star.prices(spark, d), star.raw_articles(spark, d)
+    return quality.collection_checks(prices, raw, _days_of((prices, "trade_date"), (raw, "collected_date")))
 
 
 def quality_scoring(spark, d):
-    rows = quality.scoring_checks(star.scored_articles(spark, d), star.daily(spark, d), _calendar(spark))
+    prices, raw = star.prices(spark, d), star.raw_articles(spark, d)
+    days = _days_of((prices, "trade_date"), (raw, "collected_date"))
+    rows = quality.scoring_checks(star.scored_articles(spark, d), star.daily(spark, d), days)
     return _stable(rows, "value")
 
 
@@ -241,7 +247,7 @@ _RAW_COLUMNS = ["source", "source_id", "ticker", "collected_date", "raw_text", "
 
 
 def dedup_first(spark, d):
-    return dedup.first_per_key(star.raw_articles(spark, d), ["source", "source_id", "ticker"], ["id"])
+    return dedup.first_by_unique(star.raw_articles(spark, d), ["source", "source_id", "ticker"], "id")
 
 
 def unscored(spark, d):

@@ -164,8 +164,8 @@ SHOWN_SECTORS = f"""select sector, sentiment_date, stocks_tracked, {r_up('avg_se
 
 # --- quality ---------------------------------------------------------------------------------
 
-CALENDAR = f"""select unnest(generate_series(date '{star.FIRST_DAY}',
-    date '{star.FIRST_DAY}' + {star.DAYS - 1}, interval 1 day))::date run_date"""
+CALENDAR = """select unnest(generate_series(min(day), max(day), interval 1 day))::date run_date
+    from (select trade_date as day from prices union all select collected_date from raw)"""
 MEASURES = {
     "price_m": """select trade_date run_date, count(*) rows, count(*) filter (close_price is null) null_close,
         count(*) filter (close_price <= 0) non_positive, count(*) filter (abs(pct_change) > 30) extreme
@@ -383,7 +383,7 @@ ORACLE: dict[str, str] = {
     "quality_collection": query(COLLECTION, "prices", "raw", days=CALENDAR, price_m=MEASURES["price_m"], raw_m=MEASURES["raw_m"]),
     "quality_scoring": query(
         f"select * replace ({r_up('value', 10)} as value) from ({SCORING})",
-        "scored", "daily", days=CALENDAR, scored_m=MEASURES["scored_m"], daily_m=MEASURES["daily_m"],
+        "prices", "raw", "scored", "daily", days=CALENDAR, scored_m=MEASURES["scored_m"], daily_m=MEASURES["daily_m"],
     ),
     "quality_report": query(
         """select run_date, count(*) filter (passed) passed, count(*) filter (not passed) failed,

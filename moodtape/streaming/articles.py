@@ -16,23 +16,21 @@ from pyspark.sql import types as T
 from moodtape.operators.daily import MIN_MENTIONS, daily_measures
 from moodtape.sources.tables import Tables
 
-# How many state partitions' worth of copies of one key the first dedup step may keep.
-SALTS = 16
-
-
 def landed(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "json", **options) -> DataFrame:
     """A stream over the files that land in a folder."""
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
-def deduplicated(rows: DataFrame, keys: Sequence[str], event_time: str, spread: str, delay: str = "2 days") -> DataFrame:
+def deduplicated(rows: DataFrame, keys: Sequence[str], event_time: str, spread: str, delay: str = "2 days", salts: int | None = None) -> DataFrame:
     """One row per key among rows at most ``delay`` apart.
 
     Two steps, so that a key with very many copies does not end up in one task:
     first per (key, salt), the salt taken from the unique column ``spread``,
-    then per key over the few rows left.
+    then per key over the few rows left.  There are as many salts as shuffle
+    partitions unless given.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     few = salted.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([*keys, "_salt"])
     return few.dropDuplicatesWithinWatermark(list(keys)).drop("_salt")
 
