@@ -7,11 +7,37 @@ from __future__ import annotations
 
 import json
 
-from moodtape.functions.text import DROPPED_PATTERN, SPACE, URL_PATTERN, WORD
-from moodtape.operators import quality
 from moodtape.plans import catalog
 from moodtape.sources import star
 
+# Fixed values, written out here so that the SQL doesn't follow the code it checks.
+WORD = r"\p{L}\p{N}_"
+SPACE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+URL_PATTERN = r"https?://[^" + SPACE + r"]+|www\.[^" + SPACE + "]+"
+DROPPED_PATTERN = r"[^\p{L}\p{N}_%.,!?₹$\-]+"
+# name, measure, rule, bound, critical, message
+PRICE_RULES = [
+    ("price_row_count", "rows", ">=", 20, True, "%d rows (need >=20 tickers)"),
+    ("price_no_null_close", "null_close", "=", 0, True, "%d null close prices"),
+    ("price_positive_values", "non_positive", "=", 0, True, "%d rows with close_price <= 0"),
+    ("price_pct_change_range", "extreme", "=", 0, False, "%d rows with |pct_change| > 30%%"),
+]
+RAW_RULES = [
+    ("sentiment_row_count", "rows", ">=", 10, True, "%d posts collected (need >=10)"),
+    ("sentiment_no_empty_text", "empty_text", "=", 0, False, "%d records with empty text"),
+    ("sentiment_multiple_sources", "sources", ">=", 1, False, "%d distinct sources"),
+    ("sentiment_ticker_coverage", "tickers", ">=", 5, True, "%d tickers have sentiment data (need >=5)"),
+]
+SCORED_RULES = [
+    ("scored_row_count", "rows", ">=", 5, True, "%d scored records (need >=5)"),
+    ("scored_probability_sum", "sum_error", "<", 0.01, True, "avg probability sum error: %.6f (need <0.01)"),
+    ("scored_compound_range", "out_of_range", "=", 0, True, "%d records with compound_score outside [-1, 1]"),
+]
+DAILY_RULES = [
+    ("daily_agg_row_count", "rows", ">=", 3, True, "%d tickers aggregated (need >=3)"),
+    ("daily_agg_score_range", "out_of_range", "=", 0, True, "%d rows with avg_sentiment outside [-1,1]"),
+]
+
 
 def r_up(x: str, n: int) -> str:
     return (
@@ -181,21 +207,21 @@ MEASURES = {
 }
 
 
-def checks(measures: str, rules: list[quality.Check]) -> str:
+def checks(measures: str, rules: list[tuple]) -> str:
     rows = []
-    for c in rules:
-        value = c.measure if c.rule == "<" else f"coalesce({c.measure}, 0)"
-        shown = f"printf({quote(c.message)}, {value if c.rule == '<' else value + '::bigint'})"
+    for name, measure, rule, bound, critical, message in rules:
+        value = measure if rule == "<" else f"coalesce({measure}, 0)"
+        shown = f"printf({quote(message)}, {value if rule == '<' else value + '::bigint'})"
         rows.append(
-            f"""select run_date, {quote(c.name)} as name, coalesce({value} {c.rule} {c.bound}, false) passed,
-            {str(c.critical).lower()} critical, case when {value} is null then 'no rows' else {shown} end message,
+            f"""select run_date, {quote(name)} as name, coalesce({value} {rule} {bound}, false) passed,
+            {str(critical).lower()} critical, case when {value} is null then 'no rows' else {shown} end message,
             {value}::double as value from days left join {measures} using (run_date)"""
         )
     return " union all ".join(rows)
 
 
-COLLECTION = f"{checks('price_m', quality.PRICE_CHECKS)} union all {checks('raw_m', quality.RAW_CHECKS)}"
-SCORING = f"{checks('scored_m', quality.SCORED_CHECKS)} union all {checks('daily_m', quality.DAILY_CHECKS)}"
+COLLECTION = f"{checks('price_m', PRICE_RULES)} union all {checks('raw_m', RAW_RULES)}"
+SCORING = f"{checks('scored_m', SCORED_RULES)} union all {checks('daily_m', DAILY_RULES)}"
 
 # --- texts -------------------------------------------------------------------------------------
 
