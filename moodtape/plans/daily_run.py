@@ -155,21 +155,44 @@ def run_daily(
     }
 
 
+def _has_landed(tables: Tables, place: Landing, run_date: str) -> bool:
+    """Whether every kind of file that is expected has a folder for the day."""
+    hadoop = tables.spark._jvm.org.apache.hadoop.fs.Path
+    conf = tables.spark._jsc.hadoopConfiguration()
+    folders = [_of(p, run_date) for p in (place.bars, place.feeds, place.ticker_feeds, place.json_articles) if p]
+    return all(hadoop(f).getFileSystem(conf).exists(hadoop(f)) for f in folders)
+
+
 def backfill(
     tables: Tables,
     start: str,
     end: str,
+    place: Landing | None = None,
+    ingest_ts: dt.datetime | None = None,
+    collect_lookback_days: int = 1,
     load_scorer: Callable[[], scoring.Scorer] | None = None,
     lookback_days: int = correlation.LOOKBACK_DAYS,
     holidays: Sequence[str] = HOLIDAYS,
-) -> dict[str, int]:
-    """Score, roll up and correlate every day of a range, each step as one job.
-
-    Works on the prices and articles already stored.  A day that fails a
-    critical check is left out from then on and the others go on, as each day
-    stands for itself; the report of the left-out days is in ``quality.report``.
+) -> dict:
+    """Collect, score, roll up and correlate every day of a range, each step after collection as one job.
+
+    With ``place`` the files that landed on the trading days of the range are
+    collected first, day by day, as inserts of a day read that day's folders
+    only; without it the prices and articles already stored are taken.  A day
+    that fails a critical check, or has nothing landed, is left out from then on
+    and the others go on, as each day stands for itself.  The days left out are
+    in the result; why is in ``quality.report``.
     """
     first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    if place is not None:
+        ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        day, until = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+        while day <= until:
+            run_date = day.isoformat()
+            if run_date not in holidays and _has_landed(tables, place, run_date):
+                collect_prices(tables, place, run_date, collect_lookback_days)
+                collect_articles(tables, place, run_date, ingest_ts)
+            day += dt.timedelta(days=1)
 
     def in_range(name: str, column: str) -> DataFrame:
         return tables.read(name).filter(F.col(column).between(first, last))
@@ -210,4 +233,5 @@ def backfill(
         )
     ).filter(F.col("analysis_date").isin(passed))
     correlated = tables.replace("sentiment_price_correlation", found, ["ticker", "analysis_date"])
-    return {"scored": scored, "aggregated": rolled, "correlated": correlated}
+    left_out = sorted(r["run_date"].isoformat() for r in calendar.collect() if r["run_date"] not in set(passed))
+    return {"scored": scored, "aggregated": rolled, "correlated": correlated, "left_out": left_out}

@@ -166,6 +166,12 @@ def test_daily_job_and_backfill(spark, tmp_path):
     assert done["scored"] == len(before["sentiment_scored"])
     assert {n: content(again, n) for n in TABLES} == before
 
+    # So does the backfill that collects the landed files itself; a day without files is reported.
+    landed = Tables(spark, str(tmp_path / "landed")).create()
+    done = daily_run.backfill(landed, days[0], "2026-02-19", place, NOW)
+    assert done["left_out"] == ["2026-02-19"]
+    assert {n: content(landed, n) for n in TABLES} == before
+
 
 def test_backfill_correlations_equal_daily_ones(spark, sf, tmp_path):
     from moodtape.sources import star
