@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,20 +145,19 @@ def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, per
 def _sketches(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, set_hash, registers; set_hash is null for an empty set."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                s = shingle_set(text, words)
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None
-                rows.append((len(s), digest, registers(s).tobytes() if len(s) else None))
-            frame = pd.DataFrame(rows, columns=["n_shingles", "set_hash", "registers"], index=batch.index)
-            yield pd.concat([batch[["doc_id"]], frame], axis=1)
-
-    # the id goes through Python as text, so that a null doesn't turn a batch's ids into floats
-    ids = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("text"))
-    out = ids.mapInPandas(run, "doc_id string, n_shingles long, set_hash binary, registers binary")
-    return staged(out.withColumn("doc_id", F.col("doc_id").cast("long")), "sketches")
+            sizes, digests, sketches = [], [], []
+            for text in batch.column("text"):  # one text at a time leaves the Arrow batch
+                s = shingle_set(text.as_py(), words)
+                sizes.append(len(s))
+                digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                sketches.append(registers(s).tobytes() if len(s) else None)
+            made = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], ["doc_id", "n_shingles", "set_hash", "registers"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    return staged(rows.mapInArrow(run, "doc_id long, n_shingles long, set_hash binary, registers binary"), "sketches")
 
 
 def _nodes(sketches: DataFrame) -> DataFrame:

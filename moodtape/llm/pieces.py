@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -33,7 +34,7 @@ SPACE = "▁"
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Entries of the table of known neighbours, which is emptied when full, and of each of the two tables of known
 #: chunks: the newer one, when full, becomes the older one, and what is found there moves back.
-TABLE = 350_000
+TABLE = 120_000
 
 
 class MergeEncoder:
@@ -166,6 +167,10 @@ class MergeEncoder:
         known = self.chunks.get
         return [known(c) or self._chunk(c) for c in _CHUNKS.findall(text)]
 
+    def forget(self) -> None:
+        """Empty the tables of chunks."""
+        self.chunks, self.older = {}, {}
+
     def encode(self, text: str | None) -> list[int]:
         return [*chain.from_iterable([ids for ids, _ in self._chunks(text)]), self.end]
 
@@ -189,9 +194,11 @@ def with_ids(docs: DataFrame, path: str, output: str = "ids") -> DataFrame:
     """``docs`` with the ids of every text, the end id last."""
 
     @F.arrow_udf("array<int>")
-    def ids(texts: pa.Array) -> pa.Array:
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = encoder(path)
-        return pa.array([made.encode(t.as_py()) for t in texts], pa.list_(pa.int32()))
+        for texts in batches:
+            yield pa.array([made.encode(t.as_py()) for t in texts], pa.list_(pa.int32()))
+        made.forget()  # a worker that goes on to other stages of a pipeline needs its memory
 
     return docs.withColumn(output, ids("text"))
 
