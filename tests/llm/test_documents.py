@@ -206,6 +206,31 @@ def test_licenses(odd, spark):
     assert [(r.license, r.score) for r in licenses.find_licenses(docs).collect()] == [("MIT", 1.0)]
 
 
+def test_licenses_inside_texts(spark):
+    prose = " ".join(f"word{k} other{k}" for k in range(300))
+    mit = licenses._MIT.replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    words = licenses._APACHE.split(" ")
+    wrapped = "\n".join(" ".join(words[k : k + 9]) for k in range(0, len(words), 9))
+    changed = " ".join(w for k, w in enumerate(licenses._MPL.split(" ")) if k != 7)
+    texts = {
+        1: f"{prose}\n\n{mit}\n\n{prose}",
+        2: "Released under the MIT License. Copyright 2020 Example Authors.",
+        3: "The code in this repository is released under the MIT License.",
+        4: f"def f():\n{wrapped}\n{prose}",
+        5: f"{prose} Licensed under CC BY 4.0. {prose} licensed under CC BY 4.0 {prose}\nLicensed under CC BY 4.0.\n{prose}",
+        6: f"{prose} {changed} {prose}",
+        7: "under the under the under the mit the mit the mit license or mit license mit license",
+        8: f"{prose} the license {prose}",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.score, r.n_passages) for r in licenses.find_licenses(docs).collect()}
+    assert got[1, "MIT"] == got[2, "MIT"] == got[3, "MIT"] == (1.0, 1)
+    assert got[4, "Apache-2.0"] == (1.0, 1)
+    assert got[5, "CC-BY-4.0"] == (1.0, 3)
+    assert 0.9 < got[6, "MPL-2.0"][0] < 1 and got[6, "MPL-2.0"][1] == 1
+    assert {i for i, _ in got} == {1, 2, 3, 4, 5, 6}
+
+
 def test_empty_tables(none, spark):
     for run in (
         exact_dedup.mark_copies, exact_dedup.drop_copies, line_dedup.line_report, line_dedup.drop_lines, near_dedup.near_duplicates,
