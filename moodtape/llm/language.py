@@ -3,9 +3,10 @@
 A text becomes hashed counts of byte trigrams of the lower-cased whole text, square-rooted and scaled to length one.
 Linear support vector machines (squared hinge, one against one) first vote for the language family; machines that
 separate just the languages of that family vote for the language.  They are trained with numpy on the driver, from a
-sample of labelled texts that is bounded per language (``per_language``) and in languages (``max_languages``, the
-most frequent ones), both documented parameters; features of the sample are computed on the executors.  Prediction
-runs in Arrow batches where the texts are, without a shuffle.
+sample of labelled texts that is bounded in rows only (``per_language``, evenly less where ``sample_rows`` do not hold
+as many); every language with a usable row is learned.  More than ``FAMILY_SIZE`` languages that are each a family of
+their own are put together in families of that size, so the machines stay few.  Features of the sample are computed on
+the executors.  Prediction runs in Arrow batches where the texts are, without a shuffle.
 
 Edge cases.  A null text and a text without a letter are ``und`` with score 0, as is every text when nothing could be
 learned.  With one learned language every text with a letter gets it.  Rows with null lang, text or doc_id are not
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 FEATURES = 4096
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 24
+SAMPLE_ROWS = 24 * PER_LANGUAGE
+FAMILY_SIZE = 16
 PIECE = 1 << 20
 
 # Families of languages by ISO 639-1 code.  A language not listed is a family of its own.
@@ -118,33 +120,45 @@ def family_of(language: str) -> str:
     return FAMILY_OF.get(language, f"only {language}")
 
 
-def training_sample(docs: DataFrame, per_language: int, max_languages: int) -> DataFrame:
-    """About ``per_language`` labelled rows of each language, drawn by a hash of the doc_id."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    share = F.lit(None).cast("double")
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], F.lit(per_language / row["n"])).otherwise(share)
-    return usable.select("doc_id", "lang", "text", share.alias("share")).where(draw < F.col("share")).drop("share")
+def families(languages: list[str]) -> dict[str, str]:
+    """The family of each language; many languages without one share families, in the order of their codes."""
+    out = {x: family_of(x) for x in sorted(set(languages))}
+    alone = [x for x in out if x not in FAMILY_OF]
+    if len(alone) > FAMILY_SIZE:
+        out |= {x: f"others {k // FAMILY_SIZE}" for k, x in enumerate(alone)}
+    return out
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+def training_sample(docs: DataFrame, per_language: int, sample_rows: int) -> DataFrame:
+    """doc_id, lang, text of labelled rows of every language, drawn by a hash of the doc_id, one a doc_id."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    ticks = 1 << 30
+    draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(ticks))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("first")).collect()
+    each = max(1, min(per_language, sample_rows // max(1, len(sizes))))
+    # a language's first row is always drawn
+    most = [(r["lang"], max(int(ticks * each / r["n"]), r["first"] + 1)) for r in sizes]
+    shares = docs.sparkSession.createDataFrame(most, "lang string, most long")
+    drawn = usable.select("doc_id", "lang", "text").join(F.broadcast(shares), "lang").where(draw < F.col("most"))
+    return drawn.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+
+
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """A model from the labelled rows of ``docs`` (doc_id, text, lang)."""
 
     @F.pandas_udf("binary")
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: trigram_counts(t).astype(np.float32).tobytes())
 
-    sample = training_sample(docs, per_language, max_languages)
-    # twice the expected size is far beyond what the draw can give
-    rows = sample.select("doc_id", "lang", features("text").alias("x")).limit(2 * per_language * max_languages).collect()
+    sample = training_sample(docs, per_language, sample_rows)
+    rows = sample.select("doc_id", "lang", features("text").alias("x")).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"], bytes(r["x"])))
     if not rows:
         return LanguageModel(None, {})
     x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], dtype=np.float64)
     languages = np.array([r["lang"] for r in rows])
-    groups = np.array([family_of(x) for x in languages])
+    family = families(languages.tolist())
+    groups = np.array([family[x] for x in languages])
     return LanguageModel(
         fit_machines(x, groups), {g: fit_machines(x[groups == g], languages[groups == g]) for g in sorted(set(groups))}
     )

@@ -195,6 +195,22 @@ def test_language_accuracy_on_held_out(spark):
     assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
 
 
+def test_every_language_is_learned(spark):
+    import random
+
+    rng, rows = random.Random(4), []
+    codes = sorted(language.FAMILY_OF)[:20] + [f"x{k:02}" for k in range(20)]
+    for n, code in enumerate(codes):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)]
+        rows += [(100 * n + k, " ".join(rng.choices(own, k=40)), code) for k in range(24 if n % 2 else 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, sample_rows=8 * len(codes))
+    guessed = [(model.predict(t)[0], lang) for _, t, lang in rows]
+    assert {g for g, _ in guessed} == set(codes)
+    assert sum(g == lang for g, lang in guessed) / len(rows) > 0.95
+    assert language.training_sample(docs, 400, 1).select("lang").distinct().count() == len(codes)
+
+
 def test_licenses(odd, spark):
     got = {(r.doc_id, r.license): (r.score, r.n_passages) for r in licenses.find_licenses(odd).collect()}
     by_text = {t: i for i, t in ROWS}
