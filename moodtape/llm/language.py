@@ -31,6 +31,7 @@ FEATURES = 4096
 PER_LANGUAGE = 400
 SAMPLE_ROWS = 24 * PER_LANGUAGE
 FAMILY_SIZE = 16
+LIMIT_QUANTILE, LIMIT_PART = 0.005, 0.3
 PIECE = 1 << 20
 
 # Families of languages by ISO 639-1 code.  A language not listed is a family of its own.
@@ -68,11 +69,11 @@ class Machines:
     classes: list[str]
     weights: np.ndarray = field(default_factory=lambda: np.zeros((0, FEATURES + 1)))
 
-    def vote(self, x: np.ndarray) -> tuple[str, float]:
-        """The class with most wins, then the largest summed margin; and its confidence from 0 to 1."""
+    def vote(self, x: np.ndarray) -> tuple[str, float, float]:
+        """The class with most wins, then the largest summed margin; its confidence from 0 to 1; its mean margin."""
         k = len(self.classes)
         if k == 1:
-            return self.classes[0], 1.0
+            return self.classes[0], 1.0, np.inf
         margins = self.weights[:, :-1] @ x + self.weights[:, -1]
         wins, total = np.zeros(k), np.zeros(k)
         for (a, b), m in zip(combinations(range(k), 2), margins):
@@ -80,7 +81,8 @@ class Machines:
             total[a] += m
             total[b] -= m
         best = max(range(k), key=lambda i: (wins[i], total[i], -i))
-        return self.classes[best], float(1 / (1 + np.exp(-2 * np.clip(total[best] / (k - 1), -30, 30))))
+        margin = float(total[best] / (k - 1))
+        return self.classes[best], float(1 / (1 + np.exp(-2 * np.clip(margin, -30, 30)))), margin
 
 
 def fit_machines(x: np.ndarray, labels: np.ndarray, strength: float = 3e-4, steps: int = 150) -> Machines:
@@ -106,14 +108,23 @@ def fit_machines(x: np.ndarray, labels: np.ndarray, strength: float = 3e-4, step
 class LanguageModel:
     families: Machines | None
     members: dict[str, Machines]
+    #: Texts whose family or language wins with a smaller margin are unknown.
+    limits: tuple[float, float] = (-np.inf, -np.inf)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def judge(self, text: str | None) -> tuple[str, float, float, float]:
+        """Language, score, and the winning margins of the family and of the language in it."""
         if not text or self.families is None or not _letter.search(text):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, -np.inf, -np.inf
         x = trigram_counts(text)
-        family, sure = self.families.vote(x)
-        language, surer = self.members[family].vote(x)
-        return language, sure * surer
+        family, sure, far = self.families.vote(x)
+        language, surer, farther = self.members[family].vote(x)
+        return language, sure * surer, far, farther
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        language, score, far, farther = self.judge(text)
+        if far < self.limits[0] or farther < self.limits[1]:
+            return UNKNOWN, 0.0
+        return language, score
 
 
 def family_of(language: str) -> str:
@@ -164,6 +175,30 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SA
     )
 
 
+def with_limits(model: LanguageModel, docs: DataFrame) -> LanguageModel:
+    """The model with margin limits from labelled ``docs`` it has not learned from.
+
+    A limit is ``LIMIT_PART`` of the margin that all but ``LIMIT_QUANTILE`` of a sample's rightly told texts exceed.
+    Learned languages stay well above it, short texts included, while texts in other languages, encoded data, code and
+    letter noise win by chance and by little.  Without such texts there are no limits.
+    """
+
+    @F.pandas_udf("lang string, far double, farther double")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        made = [model.judge(t) for t in texts]
+        return pd.DataFrame([(m[0], m[2], m[3]) for m in made], columns=["lang", "far", "farther"])
+
+    sample = training_sample(docs, PER_LANGUAGE, SAMPLE_ROWS).select("lang", judged("text").alias("guess"))
+    rows = sample.where(F.col("guess.lang") == F.col("lang")).select("guess.far", "guess.farther").collect()
+
+    def limit(margins: list[float]) -> float:
+        margins = [m for m in margins if np.isfinite(m)]
+        low = float(np.quantile(margins, LIMIT_QUANTILE)) if margins else -np.inf
+        return min(low, LIMIT_PART * low)
+
+    return LanguageModel(model.families, model.members, (limit([r["far"] for r in rows]), limit([r["farther"] for r in rows])))
+
+
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with lang_pred and score."""
 

@@ -269,6 +269,27 @@ def test_pipeline_stages(spark, odd, none):
         docs.count()
 
 
+def test_pipeline_drops_unlearned_languages_and_noise(spark):
+    import base64
+    import random
+
+    rng = random.Random(1)
+    planted = [
+        base64.b64encode(rng.randbytes(600)).decode(),
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(800)),
+        "def f(x):\n    return [i for i in range(x) if i % 2 == 0]\nclass A(object):\n    def __init__(self, y): self.y = y\n" * 4,
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(10**9 + k, t, None) for k, t in enumerate(planted)]
+    kept = corpus_pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, docs.schema)), "")
+    kept = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not [i for i in kept if i >= 10**9]
+    assert len(kept) >= 0.998 * docs.count()
+
+
 def test_pipeline_against_plain_python(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     kept = docs
