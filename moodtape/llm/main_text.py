@@ -2,7 +2,7 @@
 
 A page is a sequence of words and tags.  Words score positive, tags negative, and one linear scan finds the contiguous
 run with the largest sum: the content region.  The weights are log odds learned from labelled pages: pages that say
-themselves, by an ``article`` or ``main`` element, where their content is; words count by where they stand (inside
+themselves, by an ``article`` or ``main`` element with at least half of their words, where their content is; words count by where they stand (inside
 such an element, outside of it, on a page without one, in a link), tags by name.  They are fitted on a bounded sample
 (``sample_pages``, drawn by a hash of the page's address and number), counted on the executors; only one row per kind
 of word or tag reaches the driver.  Every page is then read whole, in Arrow batches, without a shuffle.
@@ -90,13 +90,15 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
     stack: list[str] = []
     content = skipped = links = block = 0
     skip_from: list[int] = []
-    content_page = re.search(r"<(?:article|main)\b", page, re.I) is not None
+    elements: list[int] = []  # the outermost content element of each piece, 0 for none
+    element = 0
     for m in _token.finditer(page):
         text = m.group("text")
         if text is not None:
             if not skip_from:
-                kind = "link" if links else "word in" if content else "word out" if content_page else "word"
+                kind = "link" if links else "word in" if content else "word out"
                 out.append((kind, text, block))
+                elements.append(element if content else 0)
             continue
         name = m.group("name")
         if name is None:
@@ -106,6 +108,7 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
             block += 1
         if not skip_from:
             out.append((f"tag {name}", " " if name in SPACES else "", block))
+            elements.append(0)
         if m.group("close"):
             if name in stack:
                 while True:
@@ -122,13 +125,28 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
                 if skip_from and len(stack) < skip_from[0]:
                     skip_from.clear()
             stack.append(name)
-            content += name in CONTENT
+            if name in CONTENT:
+                element += content == 0
+                content += 1
             links += name == "a"
             if not skip_from and _marked(name, m.group("attributes"), content > 0):
                 skip_from.append(len(stack))
+    if not _labelled(out, elements):
+        return [("word" if kind[0] == "w" else kind, text, block) for kind, text, block in out]
     return out
 
 
+def _labelled(parts: list[tuple[str, str, int]], elements: list[int]) -> bool:
+    """Whether one content element holds at least half of the page's words, links aside; teasers and comments do not."""
+    if not any(elements):
+        return False
+    held: Counter = Counter()
+    for (kind, text, _), element in zip(parts, elements):
+        if kind[0] == "w":
+            held[element] += len(text.split())
+    return held.total() > 0 and 2 * max((n for element, n in held.items() if element), default=0) >= held.total()
+
+
 def best_run(scores: list[float]) -> tuple[int, int]:
     """The contiguous run with the largest positive sum, in one scan; the first and shortest of equals, else empty."""
     best, start, stop, total, since = 0.0, 0, 0, 0.0, 0

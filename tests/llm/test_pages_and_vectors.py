@@ -33,6 +33,25 @@ def test_cut_off_and_odd_pages():
     assert main_text.main_text("<div>" * 50_000 + "deep", w) in ("deep", "")
 
 
+def test_small_articles_do_not_label_a_page():
+    real = " ".join(f"real{k}" for k in range(200))
+    said = "".join(f'<article id="c{k}"><p>said {k} by someone</p></article>' for k in range(20))
+    teaser = '<article><h3>Other story</h3><p>read on</p></article>'
+    pages = [
+        f"<div><section><p>{real}</p></section></div>{said}",
+        f"{teaser}<div><p>{real}</p></div>{teaser}",
+        f"<script>x = '<article>'</script><div><p>{real}</p></div>",
+        f"<!-- <main> --><div><p>{real}</p></div>",
+        f'<div><p>{real}</p></div><article class="comment">{real.replace("real", "said")} {real.replace("real", "more")}</article>',
+        f"<nav><article>{real.replace('real', 'menu')}</article></nav><div><p>{real}</p></div>",
+    ]
+    for page in pages:
+        assert real in main_text.main_text(page, weights())
+    assert "said0" not in main_text.main_text(pages[4], weights())
+    assert {kind for kind, _, _ in main_text.tokens(pages[0]) if kind[0] == "w"} == {"word"}
+    assert "word" not in {kind for kind, _, _ in main_text.tokens(PAGE)}
+
+
 def test_best_run():
     assert main_text.best_run([-1, 2, -1, 2, -5, 2]) == (1, 4)
     assert main_text.best_run([1, -1, 1]) == (0, 1)
