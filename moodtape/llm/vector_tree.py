@@ -7,14 +7,15 @@ driver, with leaves for about ``LEAF_ENTRIES`` entries as far as the sample can
 Search.  A query walks the tree through a priority queue: the best child is followed, the others wait by their score,
 and leaves come out in the order in which they are visited.  How many leaves are visited is calibrated: the exact
 neighbours of a bounded sample of queries (``calibration_queries``, against all entries, in blocks) tell at which
-number of leaves the recall reaches ``recall``; ``margin`` more are visited.  Queries meet the leaves in groups of
+number of leaves the recall reaches ``recall``; ``margin`` more are visited, and still more while the visited ones hold
+too few entries to fill the answer, whichever of them have the query's own id.  Queries meet the leaves in groups of
 neighbouring leaves, about ``BLOCK`` entries each and larger leaves split, each scored by one matrix product of which
 only the visited leaves count.  Scores that can reach the answer
 are computed anew in double precision, the same way for every pair, so equal vectors tie exactly.
 
 Edge cases.  Vectors that are null or zero, or hold null or non-finite components, take no part, nor does a null id;
 the dimension is the most frequent one, other lengths take no part.  Repeated ids are rows of their own, but a query
-never finds rows with its own id.  With fewer candidates than asked for, all in the visited leaves are returned, and
+never finds rows with its own id.  With fewer candidates than asked for, all are returned, and
 with up to ``BLOCK`` entries all leaves are visited.  Ties go to the smaller id.  An empty table gives an empty result.
 Columns other than the id and the vector are not read.
 """
@@ -62,13 +63,14 @@ class Tree:
                     waiting.append((child, rows[best == k]))
         return out
 
-    def leaves_in_order(self, query: np.ndarray, most: int) -> list[int]:
-        """Up to ``most`` leaves, best bin first."""
-        found, heap, tick = [], [(0.0, 0, 0)], 0
-        while heap and len(found) < most:
+    def leaves_in_order(self, query: np.ndarray, most: int, held: list[int] | None = None, least: int = 0) -> list[int]:
+        """``most`` leaves, best bin first, and more until they hold ``least`` entries; ``held`` are the leaves' sizes."""
+        found, heap, tick, entries = [], [(0.0, 0, 0)], 0, 0
+        while heap and (len(found) < most or entries < least):
             _, _, node = heapq.heappop(heap)
             if node < 0:
                 found.append(-1 - node)
+                entries += held[-1 - node] if held else 0
                 continue
             for score, child in zip(self.centres[node] @ query, self.children[node]):
                 tick += 1
@@ -171,14 +173,18 @@ def nearest(rows: DataFrame, queries: DataFrame, key="vec_id", vector="embedding
                 yield batch.assign(leaf=tree.leaf_of(_matrix(batch["vector"])))
 
     index = staged(entries.mapInPandas(put, "vector array<double>, ids array<long>, leaf long"), "vector-index")
-    visits = tree.leaves
+    visits, least = tree.leaves, 0
     if total > block:
+        # No answer has fewer rows than asked for while there are candidates: entries with the query's own id are none.
+        own = index.select(F.explode("ids").alias("id")).groupBy("id").count().agg(F.max("count")).first()[0]
+        least = top + own
         reached = _calibrate(index, asked, tree, top, calibration_queries, recall)
         visits = min(tree.leaves, int(np.ceil(reached * margin)))
 
     # Leaves next to each other in the tree make groups of about a block of entries; a larger leaf is a group of several
     # blocks. There are as many rows as leaves, which the sample bounds.
     sizes = dict(index.groupBy("leaf").agg(F.count("*").alias("n")).collect())
+    leaf_sizes = [sizes.get(leaf, 0) for leaf in range(tree.leaves)]
     group_of, held = np.zeros(tree.leaves, np.int64), [0]
     for leaf in range(tree.leaves):
         if held[-1] and held[-1] + sizes.get(leaf, 0) > block:
@@ -191,7 +197,7 @@ def nearest(rows: DataFrame, queries: DataFrame, key="vec_id", vector="embedding
             visits_of = []
             for v in batch["vector"]:
                 groups: dict[int, list[int]] = {}
-                for leaf in tree.leaves_in_order(np.asarray(v, float), visits):
+                for leaf in tree.leaves_in_order(np.asarray(v, float), visits, leaf_sizes, least):
                     groups.setdefault(int(group_of[leaf]), []).append(leaf)
                 visits_of.append([{"group": g, "leaves": leaves} for g, leaves in groups.items()])
             yield batch.assign(visits=visits_of)

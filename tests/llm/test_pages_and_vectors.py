@@ -91,6 +91,16 @@ def test_small_tables_are_exact(spark):
     assert vector_tree.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_outlier_leaves_do_not_shorten_answers(spark):
+    rng = np.random.RandomState(2)
+    base = rng.randn(6000, 8)
+    base[:30] = 1000 * np.abs(rng.randn(30, 8)) * np.where(np.arange(30)[:, None] % 8 == np.arange(8), 1, 1e-3)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    found = vector_tree.nearest(table, table.where("vec_id < 30 or vec_id % 40 = 0"), recall=0.01).groupBy("query_id").count().collect()
+    assert len(found) == 30 + 149
+    assert {r["count"] for r in found} == {20}
+
+
 def test_recall(spark):
     folder = "/root/testdata/check_s"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
