@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moodtape.llm import exact_dedup, language, licenses, line_dedup, main_text, mixing, near_dedup, pieces, token_files, vector_tree
+from moodtape.llm import chat_format, exact_dedup, language, licenses, line_dedup, main_text, mixing, near_dedup, pieces, prefix_trie, sql, token_files
+from moodtape.llm import vector_codes, vector_tree
 from moodtape.llm.common import read_table, tokenizer_path
 from moodtape.session import work_path
 
@@ -53,6 +54,22 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.mark_copies(read_table(spark, d, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.trie_nodes(prefix_trie.branched(prefix_trie.turn_sequences(read_table(spark, d, "conversations"))))
+
+
+def op12_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    says = f"{chat_format.END}{chat_format.START}assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
+    path = work_path(spark, "chat")
+    chat_format.write_formatted(read_table(spark, d, "conversations").select(more.columns).unionByName(more), path)
+    return chat_format.format_report(chat_format.read_formatted(spark, path))
+
+
+def op13_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, d, "embeddings"))
+
+
 def _template_rows() -> str:
     quoted = [text.replace("'", "''") for _, text in licenses.TEMPLATES]
     return ", ".join(f"({k}, '{name}', '{text}')" for k, ((name, _), text) in enumerate(zip(licenses.TEMPLATES, quoted)))
@@ -69,6 +86,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_chat_format": op12_chat_format,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLE = {
@@ -191,4 +211,7 @@ ORACLE = {
         )
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM best
     """,
+    "op11_prefix_trie": sql.TRIE,
+    "op12_chat_format": sql.CHAT,
+    "op13_vector_codes": sql.CODES,
 }
