@@ -66,7 +66,8 @@ def parsed(formatted: Column) -> Column:
     stop = f"{END}\n"
 
     def follows(piece: Column) -> Column:
-        return (F.instr(piece, "\n") > 0) & piece.endswith(stop) & (F.locate(END, piece) == F.char_length(piece) - len(stop) + 1)
+        line, end = F.instr(piece, "\n"), F.locate(END, piece)
+        return (line > 0) & (line < end) & piece.endswith(stop) & (end == F.char_length(piece) - len(stop) + 1)
 
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, "\n", 1)

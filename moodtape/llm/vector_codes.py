@@ -20,8 +20,8 @@ Edge cases.  Vectors that are null, or hold null or non-finite components, are d
 not the most frequent one (of equally frequent ones the smaller) among lengths that the parts divide.  Rows that repeat
 an id are vectors of their own, equal ones in no particular order; a null id comes last.  With fewer vectors than
 entries the codebooks are that much smaller.  Components may be up to 2**50: where 64 bits could overflow, Python's
-integers are used; larger ones count as non-finite, and an error beyond a long is null.  An empty table gives an empty
-result.  Columns other than the id, the vector and the label are not read.
+integers are used; larger ones count as non-finite, and an error beyond a long is null and adds nothing to its label's.
+An empty table gives an empty result.  Columns other than the id, the vector and the label are not read.
 """
 
 from __future__ import annotations
@@ -221,7 +221,7 @@ def compress(rows: DataFrame, key="vec_id", vector="embedding", label="label", p
     if not codebooks:
         return rows.sparkSession.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
     coded = staged(encode(usable, codebooks), "vector-codes")
-    total = F.sum(F.col("error").cast("decimal(38,0)")).cast("long").alias("label_error")
+    total = F.sum(F.col("error").cast("decimal(38,0)")).try_cast("long").alias("label_error")
     by_label = coded.groupBy(F.col("label").alias("of_label")).agg(total)
     out = coded.join(by_label, coded["label"].eqNullSafe(by_label["of_label"]))
     return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codebooks_sha256(codebooks)).alias("codebooks_sha256"))

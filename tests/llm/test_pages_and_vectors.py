@@ -120,7 +120,7 @@ def test_equals_sql(spark, sf, name):
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in catalog.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in catalog.QUERIES}
     assert set(catalog.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
