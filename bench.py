@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from moodtape.plans.catalog import QUERIES  # noqa: E402
 from moodtape.plans.oracle import ORACLE  # noqa: E402
 from moodtape.session import build_session  # noqa: E402
+from moodtape.sources.star import SCAN_TASKS  # noqa: E402
 
 HEADLINE = [
     "price_bars",
@@ -59,6 +60,7 @@ def main() -> None:
         f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g"},
     )
+    spark.conf.set(SCAN_TASKS, cpus)  # the files have one row group each
     spark.sparkContext.setLogLevel("ERROR")
     result = {}
     for name in names:

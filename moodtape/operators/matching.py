@@ -1,91 +1,134 @@
-"""Which tickers does a text mention?  Whole-word keyword search as an equi-join.
+"""Which tickers does a text mention?  Whole-word keyword search by runs of characters.
 
 Text and keyword are both cut into alternating runs of word and non-word
 characters.  A keyword occurs as a whole word exactly when its runs appear as
-consecutive runs of the text, so the search is a join of short run sequences
-("grams") with the keyword table, whatever the size of that table: no regular
-expression per keyword and no pairing of every text with every keyword.
-``M&M`` or ``BAJAJ-AUTO`` need no special case.
+consecutive runs of the text, so the search compares short run sequences
+("grams") with the keyword table: no regular expression per keyword and no
+pairing of every text with every keyword.  ``M&M`` or ``BAJAJ-AUTO`` need no
+special case.
+
+Keywords come in few shapes (how many runs, a word or a symbol at either end),
+and one pattern per shape finds all grams of it in one pass over the text, the
+overlapping ones too; grams of several runs are looked for only in texts that
+hold the first word of such a keyword.  A dictionary of up to ``IN_PLACE`` keywords then comes to
+every task as one array, and a text's grams are compared with it on the spot, so
+texts are neither exploded nor shuffled.  A larger dictionary is joined on the
+grams: broadcast up to ``BROADCAST_BYTES``, shuffled beyond; the side of the texts
+is never the one that is built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moodtape.functions.numeric import ColumnLike, as_col
 from moodtape.functions.text import WORD
 
+IN_PLACE, BROADCAST_BYTES = 8192, 64 << 20
 _WORD_START = rf"^[{WORD}]"
+_WORD_RUN, _OTHER_RUN = f"[{WORD}]++", f"[^{WORD}]++"
 
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, evaluated once even where ``body`` uses it per element."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _runs(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"([{WORD}]+|[^{WORD}]+)"), 1)
+Shape = tuple[int, bool, bool]
 
 
-def _grams(text: Column, shapes: list[tuple[int, bool, bool]]) -> Column:
-    """Distinct run sequences of the asked shapes: (run count, starts with word, ends with word).
+def _shape_pattern(n: int, word_first: bool, word_last: bool) -> str:
+    """Finds, in group 1, every sequence of ``n`` whole runs, also where it overlaps another.
 
     A keyword that starts (ends) with a symbol needs a word right before (after)
     it, as a word boundary lies between a word and a non-word character.
     """
-    words = F.regexp_extract_all(text, F.lit(rf"([{WORD}]+)"), 1)
-    offset = F.when(text.rlike(_WORD_START), 0).otherwise(1)
+    runs = "".join(_WORD_RUN if (k % 2 == 0) == word_first else _OTHER_RUN for k in range(n))
+    if n == 1 and word_first:
+        return f"({runs})"
+    before = f"(?<![{WORD}])" if word_first else f"(?<=[{WORD}])"
+    after = "" if word_last else f"(?=[{WORD}])"
+    return f"{before}(?=({runs}){after})."
 
-    def joined(runs: Column, n: int) -> Callable[[Column], Column]:
-        # Not slice(): it copies the whole array for every gram.
-        return lambda start: F.concat(*[runs[start + (j - 1)] for j in range(n)])
 
-    def longer(runs: Column) -> Column:
-        parts = []
-        for n, word_first, word_last in shapes:
-            if n == 1 and word_first:
-                continue
-            first = offset + 1 if word_first else F.when(offset == 0, 2).otherwise(3)
-            last = F.size(runs) - n + 1 - (0 if word_last else 1)
-            starts = F.when(last >= first, F.sequence(first, last, F.lit(2))).otherwise(F.array().cast("array<int>"))
-            parts.append(F.transform(starts, joined(runs, n)))
-        return F.concat(*parts)
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_shape_pattern(1, True, True)), 1)
 
-    single = [words] if any(n == 1 and first for n, first, _ in shapes) else []
-    rest = [let(_runs(text), longer)] if any(n > 1 or not first for n, first, _ in shapes) else []
-    return F.array_distinct(F.concat(*single, *rest))
+
+def _grams(text: Column, words: Column, shapes: list[Shape], worthwhile: Column) -> Column:
+    """The grams of all shapes that a text holds; of more than one run only where they are worthwhile."""
+    found = []
+    for shape in shapes:
+        grams = F.regexp_extract_all(text, F.lit(f"(?s){_shape_pattern(*shape)}"), 1)
+        if shape == (1, True, True):
+            grams = words
+        elif shape[0] > 1:
+            grams = F.when(worthwhile, grams).otherwise(F.array().cast("array<string>"))
+        found.append(grams)
+    return F.concat(*found)
 
 
 def _prepared(keywords: DataFrame) -> DataFrame:
-    key = F.upper("keyword")
+    """ticker, gram and the gram's shape."""
+    runs = F.regexp_count("gram", F.lit(f"{_WORD_RUN}|{_OTHER_RUN}"))
     return (
         keywords.filter("keyword <> ''")
-        .select("ticker", key.alias("gram"))
+        .select("ticker", F.upper("keyword").alias("gram"))
         .distinct()
-        .withColumn("n", F.size(_runs(F.col("gram"))))
+        .withColumn("n", runs)
         .withColumn("word_first", F.col("gram").rlike(_WORD_START))
         .withColumn("word_last", F.col("gram").rlike(rf"[{WORD}]$"))
     )
 
 
-def with_tickers(df: DataFrame, keywords: DataFrame, text: ColumnLike = "raw_text") -> DataFrame:
+def with_tickers(
+    df: DataFrame,
+    keywords: DataFrame,
+    text: ColumnLike = "raw_text",
+    in_place: int = IN_PLACE,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """One row per (input row, mentioned ticker); rows without a mention are dropped.
 
-    ``keywords`` has (ticker, keyword) rows and stays a DataFrame: Spark decides by
-    its measured size whether to broadcast it, and splits the partition of a gram
-    that most texts hold.  Only the shapes of the keywords (run counts and ends)
-    come to the driver.  Mentions are found per digest of the text, as equal texts
-    have equal mentions; so only digests and grams meet the keywords, copies of a
-    text merge, and no key is asked of the rows.
+    ``keywords`` has (ticker, keyword) rows.  Of these only the shapes, their
+    number and their size come to the driver, and decide how they meet the texts.
     """
     table = _prepared(keywords)
-    shapes = sorted(tuple(r) for r in table.select("n", "word_first", "word_last").distinct().collect())
+    size = [F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("gram") + F.octet_length("ticker") + 64).alias("bytes")]
+    kinds = table.groupBy("n", "word_first", "word_last").agg(*size).collect()
+    shapes = sorted((r["n"], r["word_first"], r["word_last"]) for r in kinds)
     if not shapes:
         return df.withColumn("ticker", F.lit(None).cast("string")).filter(F.lit(False))
-    keyed = df.withColumn("_digest", F.sha2(as_col(text), 256))
-    grams = keyed.select("_digest", F.explode(_grams(F.upper(as_col(text)), shapes)).alias("gram"))
-    pairs = grams.join(table.select("ticker", "gram"), "gram").select("_digest", "ticker").distinct()
-    return keyed.drop("ticker").join(pairs, "_digest").drop("_digest")
+    first_word = F.regexp_extract("gram", f"({_WORD_RUN})", 1)
+    entries = table.select("ticker", "gram", F.when(F.col("n") > 1, first_word).alias("first"))
+    if sum(r["rows"] for r in kinds) <= in_place:
+        return _matched_in_place(df, entries, as_col(text), shapes)
+    return _matched_by_join(df, entries, as_col(text), shapes, sum(r["bytes"] for r in kinds) <= broadcast_bytes)
+
+
+def _generated(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column that is computed once, whatever is asked of it later: a filter on it is not pushed below it."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def _matched_in_place(df: DataFrame, entries: DataFrame, text: Column, shapes: list[Shape]) -> DataFrame:
+    """Grams compared with the whole dictionary, an array that Spark makes once."""
+    every, first = entries.agg(F.collect_set("gram")).scalar(), entries.agg(F.collect_set("first")).scalar()
+    named = entries.agg(F.collect_list(F.struct("gram", "ticker"))).scalar()
+    upper = F.upper(text)
+    worded = _generated(df.drop("ticker"), "_words", _words(upper))
+    grams = _grams(upper, F.col("_words"), shapes, F.arrays_overlap("_words", first))
+    found = _generated(worded, "_found", F.array_intersect(every, grams)).drop("_words").filter(F.size("_found") > 0)
+    tickers = F.transform(F.filter("_named", lambda e: F.array_contains("_found", e.gram)), lambda e: e.ticker)
+    return found.withColumn("_named", named).withColumn("ticker", F.explode(F.array_distinct(tickers))).drop("_found", "_named")
+
+
+def _matched_by_join(df: DataFrame, entries: DataFrame, text: Column, shapes: list[Shape], small: bool) -> DataFrame:
+    """Grams joined with the dictionary.
+
+    Mentions are found per digest of the text, as equal texts have equal mentions;
+    so only digests and grams meet the keywords, copies of a text merge, and no
+    key is asked of the rows.
+    """
+    keyed = df.withColumn("_digest", F.sha2(text, 256))
+    upper = F.upper(text)
+    grams = F.array_distinct(_grams(upper, _words(upper), shapes, F.lit(True)))
+    exploded = keyed.select("_digest", F.explode(grams).alias("gram"))
+    known = entries.select("ticker", "gram").hint("broadcast" if small else "merge")
+    pairs = exploded.join(known, "gram").select("_digest", "ticker").distinct()
+    return keyed.drop("ticker").join(pairs.hint("merge"), "_digest").drop("_digest")

@@ -49,6 +49,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+#: Session setting: into how many tasks the texts of documents and pages are dealt after the scan (default: as scanned).
+SCAN_TASKS = "moodtape.scan.tasks"
+
+
+def _dealt(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """Texts in as many tasks as the caller sets.
+
+    For files of fewer row groups than there are cores, where a scan makes one
+    task a row group; it costs one exchange of the texts, so it is the caller's
+    choice and never made by size.
+    """
+    tasks = spark.conf.get(SCAN_TASKS, None)
+    return texts.repartition(int(tasks)) if tasks else texts
+
+
 def tickers(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -154,12 +169,12 @@ def daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", "html")
+    return _dealt(spark, table(spark, folder, "pages").select("page_id", "html"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as articles collected over a month."""
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = _dealt(spark, table(spark, folder, "documents").select("doc_id", "text"))
     return docs.select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("raw_text"),

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from moodtape.dimensions import keywords_or_ticker, seed_keywords, seed_tickers
 from moodtape.operators import matching
@@ -93,3 +94,44 @@ def test_seed_dimension(spark):
     assert len(rows) == 25
     assert rows["NTPC"]["sector"] == rows["ADANIGREEN"]["sector"] == "Utilities"
     assert all(r["is_active"] and r["exchange"] == "NSE" for r in rows.values())
+
+
+@pytest.mark.parametrize("limits", [{"in_place": 0}, {"in_place": 0, "broadcast_bytes": 0}])
+def test_larger_dictionaries_are_joined(spark, limits):
+    texts, pairs = random_texts(200, 3), random_keywords(5)
+    df = spark.createDataFrame(texts, "id int, raw_text string")
+    keywords = spark.createDataFrame(pairs, "ticker string, keyword string").repartition(3)
+    got = matching.with_tickers(df, keywords, **limits).select("id", "ticker").collect()
+    assert len(got) == len(set(map(tuple, got)))
+    assert {tuple(r) for r in got} == by_regex(texts, pairs)
+
+
+def plan_with(spark, sf, n, **limits):
+    keywords = spark.createDataFrame([(f"T{i}", f"word{i} of" if i % 9 == 0 else f"word{i}") for i in range(n)], "ticker string, keyword string")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").alias("raw_text"))
+    found = matching.with_tickers(docs, keywords, **limits)
+    return found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [5, 5000])
+def test_texts_stay_where_they_are(spark, sf, n):
+    plan = plan_with(spark, sf, n)
+    assert "Join" not in plan
+    # Above the scan of the texts there is no exchange; those of the dictionary are in subqueries.
+    path, depth = [], None
+    for line in reversed(plan.splitlines()):
+        at = len(line) - len(line.lstrip(" :+-|*"))
+        if "FileScan" in line:
+            path, depth = [line], at
+        elif depth is not None and at < depth:
+            path.append(line)
+            depth = at
+    assert path and not any("Exchange" in line for line in path), path
+
+
+def test_texts_are_never_the_built_side(spark, sf):
+    for limits, built in (({"in_place": 0}, "BuildRight"), ({"in_place": 0, "broadcast_bytes": 0}, None)):
+        plan = plan_with(spark, sf, 50, **limits)
+        assert "BuildLeft" not in plan
+        assert ("BroadcastHashJoin" in plan) == (built is not None)
+        assert "SortMergeJoin" in plan
