@@ -2,10 +2,17 @@
 
 A thin object that knows where the tables are.  Reading gives DataFrames; the
 three ways to write are append, insert-or-ignore and replace-by-key.
+
+A replacement is written beside the table as a whole, then committed by one mark,
+then moved in day by day.  Until the mark is there a reader sees the old rows;
+from then on it sees the new ones, taking those days that are not moved yet from
+where they were written, so a writer that dies in between leaves no mixture.  The
+next writer finishes the moves.  There is one writer at a time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -19,6 +26,16 @@ from moodtape.operators.dedup import first_per_full_key, not_stored, replaced
 from moodtape.plans import views
 from moodtape.schemas import TABLES, Table
 from moodtape.session import work_path
+from moodtape.sources.files import Files
+from moodtape.sources.keys import KeyIndex, key_digest
+
+#: Ends the name of the mark that commits a replacement.
+COMMITTED = ".committed"
+
+
+def _indexed(table: Table) -> bool:
+    """Whether inserts need an index of keys: the key does not say on which day a row lies."""
+    return table.day is not None and table.day not in table.key
 
 
 def aligned(df: DataFrame, table: Table) -> DataFrame:
@@ -60,6 +77,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.files = Files(spark)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].name}"
@@ -78,7 +96,43 @@ class Tables:
 
     def read(self, name: str) -> DataFrame:
         table = TABLES[name]
-        return self.spark.read.schema(table.schema).parquet(self.path(name)).select(*table.schema.names)
+        rows = self._rows(table, self.path(name)) if self.files.exists(self.path(name)) else None
+        for folder in self._committed(table):
+            new = self._rows(table, folder)
+            if table.day:
+                days = [n.split("=", 1)[1] for n in self.files.names(folder) if n.startswith(f"{table.day}=")]
+                new = rows.filter(~F.col(table.day).cast("string").isin(days)).unionByName(new) if days else rows
+            rows = new
+        if rows is None:
+            raise FileNotFoundError(self.path(name))
+        return rows
+
+    def _rows(self, table: Table, path: str) -> DataFrame:
+        return self.spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
+
+    # --- replacements on their way -----------------------------------------------------
+
+    def _replacing(self, table: Table) -> str:
+        return f"{self.root}/_replacing/{table.name}"
+
+    def _committed(self, table: Table) -> list[str]:
+        """The folder of a replacement that is committed and not moved in as a whole yet: none or one."""
+        folder = self._replacing(table)
+        found = self.files.names(folder)
+        return [f"{folder}/{n}" for n in found if f"{n}{COMMITTED}" in found]
+
+    def _settle(self, table: Table) -> None:
+        """Finish what a writer left: move in what was committed, remove what was not."""
+        for folder in self._committed(table):
+            if table.day:
+                for day in [n for n in self.files.names(folder) if n.startswith(f"{table.day}=")]:
+                    self.files.delete(f"{self.path(table.name)}/{day}")
+                    self.files.move(f"{folder}/{day}", f"{self.path(table.name)}/{day}")
+            else:
+                self.files.delete(self.path(table.name))
+                self.files.move(folder, self.path(table.name))
+        self.files.delete(self._replacing(table))
+        self.spark.catalog.refreshByPath(self.path(table.name))
 
     def register(self) -> "Tables":
         """Temporary views for SQL: the tables and the three stored queries over them."""
@@ -99,25 +153,27 @@ class Tables:
 
     # --- writing -----------------------------------------------------------------
 
-    def _write(self, df: DataFrame, table: Table, mode: str) -> int:
+    def _write(self, df: DataFrame, table: Table, path: str | None = None) -> int:
         """One write; the rows are counted on the way, not by a second job.
 
         The rebalance hint makes files of a sensible size per day and splits a
         day that holds much of the data.
         """
+        path = path or self.path(table.name)
         even = df.hint("rebalance", table.day) if table.day else df
         counted, seen = _counted(even)
         writer = counted.write.partitionBy(table.day) if table.day else counted.write
-        writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(self.path(table.name))
-        self.spark.catalog.refreshByPath(self.path(table.name))
+        writer.mode("append").parquet(path)
+        self.spark.catalog.refreshByPath(path)
         return seen()
 
-    def _stage(self, df: DataFrame, table: Table, label: str) -> tuple[DataFrame, int]:
+    def _stage(self, df: DataFrame, table: Table, label: str, more: str = "") -> tuple[DataFrame, int]:
         """Write rows that are used more than once to the shared folder; also their number."""
         path = work_path(self.spark, f"{label}-{table.name}")
         counted, seen = _counted(df)
         counted.write.parquet(path)
-        return self.spark.read.schema(table.schema).parquet(path), seen()
+        schema = T.StructType([*table.schema.fields, *(T.StructType.fromDDL(more).fields if more else [])])
+        return self.spark.read.schema(schema).parquet(path), seen()
 
     def _on_days_of(self, incoming: DataFrame, stored: DataFrame, table: Table) -> DataFrame:
         """Stored rows on the days that come in.  As literals the days prune partitions at the scan;
@@ -127,7 +183,10 @@ class Tables:
 
     def append(self, name: str, df: DataFrame) -> int:
         table = TABLES[name]
-        return self._write(aligned(df, table), table, "append")
+        self._settle(table)
+        if _indexed(table):
+            KeyIndex(self.spark, self.root, table).outdated()
+        return self._write(aligned(df, table), table)
 
     def append_rows(self, name: str, rows: Sequence[Sequence[Any]], columns: Sequence[str]) -> int:
         """A few rows typed in by hand."""
@@ -148,33 +207,56 @@ class Tables:
         given = aligned(df, table)
         stamps = {"ingested_at", "scored_at", "computed_at", "added_at"}
         order = order or [c for c in given.columns if c not in (*table.key, *stamps)]
+        self._settle(table)
         staged, _ = self._stage(first_per_full_key(given, table.key, order), table, "insert")
+        if _indexed(table):
+            return self._insert_by_index(staged, table)
         stored = self.read(name)
         if table.day in table.key:
             stored = self._on_days_of(staged, stored, table)
-        return self._write(not_stored(staged, stored, table.key), table, "append")
+        return self._write(not_stored(staged, stored, table.key), table)
+
+    def _insert_by_index(self, staged: DataFrame, table: Table) -> int:
+        """Insert against the index of keys; the stored rows are not read."""
+        index = KeyIndex(self.spark, self.root, table).up_to_date(self.read(table.name))
+        fresh, seen = self._stage(index.not_held(staged.withColumn("_key", key_digest(table.key))), table, "fresh", "_key binary")
+        if not seen:
+            return 0
+        index.begin([r[0] for r in fresh.select(table.day).distinct().collect()])
+        written = self._write(fresh.drop("_key"), table)
+        index.add(fresh)
+        index.end()
+        return written
 
     def replace(self, name: str, df: DataFrame, keys: Sequence[str]) -> int:
         """Delete the stored rows with an incoming key, insert all incoming rows; returns how many.
 
-        Only the days that occur in ``df`` are read and rewritten, each swapped in
-        as a whole.
+        Only the days that occur in ``df`` are read and rewritten.  Readers see
+        all of them replaced or none.
         """
         table = TABLES[name]
         if not keys:
             raise ValueError("replace needs the key columns that say which rows to delete")
         if table.day and table.day not in keys:
             raise ValueError(f"the keys for {name} must include its day column {table.day}")
+        self._settle(table)
         incoming, seen = self._stage(aligned(df, table), table, "replace")
+        if not seen:
+            return 0
         stored = self.read(name)
         if table.day:
             stored = self._on_days_of(incoming, stored, table)
-        result = replaced(stored, incoming, keys)
-        if not table.day:
-            result, _ = self._stage(result, table, "rewrite")
-        self._write(result, table, "overwrite")
+        if _indexed(table):
+            KeyIndex(self.spark, self.root, table).outdated()
+        beside = f"{self._replacing(table)}/{uuid.uuid4().hex}"
+        self._write(replaced(stored, incoming, keys), table, beside)
+        self._commit(beside)
+        self._settle(table)
         return seen
 
+    def _commit(self, beside: str) -> None:
+        self.files.mark(f"{beside}{COMMITTED}")
+
     def ready(self) -> bool:
         """Is the instrument dimension set up?"""
         return not self.read("tickers").isEmpty()

@@ -4,6 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from moodtape.operators import dedup, scoring
+from moodtape.schemas import TABLES
+from moodtape.sources.files import Files
+from moodtape.sources.keys import KeyIndex, key_digest
 from moodtape.sources.tables import Tables
 from tests.conftest import rows
 
@@ -117,6 +120,108 @@ def test_append_rows_and_sql(spark, tables):
     assert tables.query("SELECT * FROM vw_sector_sentiment").count() == 0
 
 
+class Killed(Exception):
+    pass
+
+
+def dies(monkeypatch, owner, method, after=0):
+    """The method raises once it was called ``after`` times."""
+    real, calls = getattr(owner, method), []
+
+    def call(self, *args):
+        calls.append(args)
+        if len(calls) > after:
+            raise Killed
+        return real(self, *args)
+
+    monkeypatch.setattr(owner, method, call)
+
+
+def test_a_replacement_is_all_or_nothing(spark, tables, monkeypatch):
+    keys = ["ticker", "sentiment_date"]
+    tables.append("daily_sentiment", daily_rows(spark, ("A", 0, 1), ("A", 1, 2), ("A", 2, 3), ("B", 3, 4)))
+    old, change = shown(tables), daily_rows(spark, ("A", 0, 10), ("A", 1, 20), ("A", 2, 30))
+    new = [("A", 0, 10), ("A", 1, 20), ("A", 2, 30), ("B", 3, 4)]
+    with monkeypatch.context() as m:
+        dies(m, Tables, "_commit")
+        with pytest.raises(Killed):
+            tables.replace("daily_sentiment", change, keys)
+    assert shown(tables) == shown(Tables(spark, tables.root)) == old
+    with monkeypatch.context() as m:
+        dies(m, Files, "move", after=1)  # between two days
+        with pytest.raises(Killed):
+            tables.replace("daily_sentiment", change, keys)
+    assert shown(tables) == shown(Tables(spark, tables.root)) == new
+    # the next writer finishes it
+    assert tables.replace("daily_sentiment", daily_rows(spark, ("C", 4, 5)), keys) == 1
+    assert shown(tables) == [*new, ("C", 4, 5)]
+    assert Files(spark).names(f"{tables.root}/_replacing") == []
+
+
+def test_a_replacement_of_an_undated_table_is_all_or_nothing(spark, tables, monkeypatch):
+    one = spark.createDataFrame([("TCS", "New name")], "ticker string, company_name string")
+    with monkeypatch.context() as m:
+        dies(m, Files, "move")
+        with pytest.raises(Killed):
+            tables.replace("tickers", one, ["ticker"])
+    got = {r["ticker"]: r["company_name"] for r in tables.read("tickers").collect()}
+    assert len(got) == 25 and got["TCS"] == "New name"
+    assert tables.replace("tickers", spark.createDataFrame([("XX", "Y")], one.schema), ["ticker"]) == 1
+    assert tables.read("tickers").count() == 26
+
+
+@pytest.mark.parametrize("owner, method", [(KeyIndex, "add"), (Tables, "_write"), (KeyIndex, "end")])
+def test_a_broken_insert_is_made_good(spark, tables, monkeypatch, owner, method):
+    tables.insert("raw_sentiment", raw(spark, ("news", "1", "A", "x", "1")))
+    batch = raw(spark, ("news", "1", "A", "x", "1"), ("news", "2", "A", "y", "2"), ("news", None, "A", "z", "3"))
+    with monkeypatch.context() as m:
+        dies(m, owner, method)
+        with pytest.raises(Killed):
+            tables.insert("raw_sentiment", batch.where("source_id IS NOT NULL"))
+    tables.insert("raw_sentiment", batch)
+    got = rows(tables.read("raw_sentiment").select("source_id"))
+    assert got == sorted([("1",), ("2",), (None,)], key=repr)
+
+
+def test_the_index_follows_other_writers(spark, tables):
+    tables.insert("raw_sentiment", raw(spark, ("news", "1", "A", "x", "1")))
+    tables.append("raw_sentiment", raw(spark, ("news", "2", "A", "appended", "2")))
+    assert tables.insert("raw_sentiment", raw(spark, ("news", "2", "A", "x", "1"), ("news", "3", "A", "x", "1"))) == 1
+    tables.replace("raw_sentiment", raw(spark, ("news", "4", "A", "replaced", "2")), ["source", "collected_date"])
+    assert tables.insert("raw_sentiment", raw(spark, ("news", "1", "A", "x", "1"), ("news", "4", "A", "x", "1"))) == 1
+    again = Tables(spark, tables.root)  # another session knows the index by its folder
+    assert again.insert("raw_sentiment", raw(spark, ("news", "1", "A", "x", "1"), ("news", "5", "A", "x", "1"))) == 1
+    assert rows(again.read("raw_sentiment").select("source_id")) == [("1",), ("4",), ("5",)]
+
+
+def test_the_index_is_joined_without_a_shuffle_of_it(spark, tables):
+    tables.insert("raw_sentiment", raw(spark, *[("news", str(i), "A", "x", "1") for i in range(500)]))
+    index = KeyIndex(spark, tables.root, TABLES["raw_sentiment"])
+    incoming = raw(spark, *[("news", str(i), "A", "x", "1") for i in range(490, 600)]).withColumn("_key", key_digest(index.table.key))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = index.not_held(incoming)
+        plan = fresh._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert fresh.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "Bucketed: true" in line)
+    depth, above = len(plan[scan]) - len(plan[scan].lstrip(" :+-*(0123456789)")), []
+    for line in reversed(plan[:scan]):
+        at = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if at < depth:
+            above.append(line)
+            depth = at
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above), above
+
+
+def test_key_digests_tell_neighbouring_parts_apart(spark):
+    pairs = [("a", "bc"), ("ab", "c"), ("", "abc"), ("1:a", "b"), (None, "x")]
+    found = spark.createDataFrame(pairs, "x string, y string").select(key_digest(("x", "y")).alias("k")).collect()
+    assert len({bytes(r.k) for r in found if r.k is not None}) == 4 and found[4].k is None
+
+
 def test_replaced_frame_leaves_null_keys(spark):
     old = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     new = spark.createDataFrame([(None, 3), ("a", 4)], "k string, v int")
