@@ -95,6 +95,39 @@ def test_backfill_equals_every_single_date(spark):
     assert len(found) == len(expect)
 
 
+@pytest.mark.parametrize("lookback", [0, 9, 60, 400])
+def test_backfill_at_other_lookbacks(spark, lookback):
+    sent, price = random_market(12, days=70)
+    found = correlation.backfill_correlation(*frames(spark, sent, price), day(20).isoformat(), day(75).isoformat(), lookback).collect()
+    expect = {(t, day(i)): v for i in range(20, 76) for t, v in by_hand(sent, price, day(i), lookback).items()}
+    assert {(r["ticker"], r["analysis_date"]): tuple(r)[2:] for r in found} == expect
+
+
+def test_backfill_rows_do_not_grow_with_the_lookback(spark):
+    sent, price = random_market(13, tickers=6, days=200)
+    made = []
+    for lookback in (30, 120):
+        found = correlation.backfill_correlation(*frames(spark, sent, price), day(140).isoformat(), day(199).isoformat(), lookback)
+        found.collect()
+        nodes = found._jdf.queryExecution().executedPlan().toString()
+        assert nodes.count("Generate explode") >= 1
+        made.append(generated_rows(found))
+    assert max(made) <= 2 * 6 * 60 + 2 * 60  # two for a ticker and date
+
+
+def generated_rows(df):
+    """How many rows the plan's Generate made."""
+    waiting, most = [df._jdf.queryExecution().executedPlan()], 0
+    while waiting:
+        node = waiting.pop()
+        if node.nodeName() == "Generate":
+            most = max(most, node.metrics().get("numOutputRows").get().value())
+        inner = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan() if "QueryStage" in node.nodeName() else None
+        below = [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+        waiting += below
+    return most
+
+
 def best(spark, *r):
     df = spark.createDataFrame([r], ", ".join(f"corr_lag_{k}d double" for k in (0, 1, 2, 3, 7)))
     row = correlation.optimal_lag(df).first()
