@@ -6,10 +6,16 @@ two pieces' characters again gives just these two; else the next shorter piece i
 up and its end is marked in a bitfield of failed positions, so no position is tried twice.  A sequence whose
 neighbours are all compatible is the one that merging gives.
 
+Merging two pieces again is decided by ranks, without any strings.  Every piece keeps the two pieces of its last merge.
+Going back in time from two finished neighbours, the one that was made later comes apart into these two, and what lies
+at the border then are its nearer part and the other piece.  The two conflict if at some such time the parts at the
+border would have merged before either was taken into the piece it belongs to.
+
 Words repeat, so chunks (a run of spaces and the word after it) are looked up in a bounded table first; that is exact
 as no piece continues over a space, which is checked when the model is loaded, and without that property the whole
-text is one chunk.  A chunk not known yet is split where two neighbouring characters stand in no piece together, as no
-merge can join them there; characters in no piece become byte pieces.  Decoding is the library's.
+text is one chunk.  Characters in no piece become byte pieces, and part a chunk.  A chunk's ids are kept as decimal
+text, the smallest form Python has for them; a whole text's ids are read from the joined texts at once.  Decoding is
+the library's.
 
 Edge cases.  A null text encodes like an empty one: the end id alone.  Texts of any length are encoded whole; ties
 between merges go to the left one, as in the library.  Rows are independent, so repeated rows and empty tables need
@@ -22,19 +28,25 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import groupby
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = "▁"
 _CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Entries of the table of known neighbours, which is emptied when full, and of each of the two tables of known
 #: chunks: the newer one, when full, becomes the older one, and what is found there moves back.
-TABLE = 120_000
+TABLE = 250_000
+#: Letters in a chunk that is kept in the table.
+LONGEST = 100
+#: Ids after which ``with_ids`` cuts a batch.
+BATCH_IDS = 1 << 20
 
 
 class MergeEncoder:
@@ -51,117 +63,144 @@ class MergeEncoder:
         self.end = sp.eos_id()
         self.bytes = {int(sp.id_to_piece(i)[3:-1], 16): i for i in special if sp.is_byte(i)}
         self.unknown = sp.unk_id()
-        self.score = {sp.id_to_piece(i): sp.get_score(i) for i in every if i not in special}
-        self.output = {sp.id_to_piece(i): (i,) for i in every if i not in special}
-        letters = sorted(set("".join(self.score)))
-        for c in letters:  # a character that only occurs within pieces
-            if c not in self.output:
-                self.output[c] = self._as_bytes(c)
-        self.pairs = {pair for piece in self.score for pair in zip(piece, piece[1:])}
-        self.over_space = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.score)
-        self.trie = ahocorasick.Automaton()
-        for piece in self.output:
-            self.trie.add_word(piece, (piece, len(piece) - 1))
-        self.trie.make_automaton()
-        self.shorter: dict[str, str | None] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.older: dict[str, tuple[tuple[int, ...], str]] = {}
-
-    def _as_bytes(self, text: str) -> tuple[int, ...]:
+        ids = {sp.id_to_piece(i): i for i in every if i not in special}
+        scores = {p: sp.get_score(i) for p, i in ids.items()}
+        self.letters = frozenset("".join(ids))
+        # Pieces by number: first the letters, which no merge makes, then the rest in the order of their merges.
+        longer = sorted((p for p in ids if len(p) > 1), key=lambda p: -scores[p])
+        pieces = [*sorted(self.letters), *longer]
+        number = {p: n for n, p in enumerate(pieces)}
+        self.said = [str(ids[p]) if p in ids else self._as_bytes(p) for p in pieces]
+        self.size = [len(p) for p in pieces]
+        # Pieces of one score merge at one time, the left one first.
+        self.rank, rank = [-1] * len(pieces), -1
+        for n in range(len(self.letters), len(pieces)):
+            if n == len(self.letters) or scores[pieces[n]] != scores[pieces[n - 1]]:
+                rank += 1
+            self.rank[n] = rank
+        self._ranked = {p: self.rank[number[p]] for p in longer}
+        self.left, self.right = list(range(len(pieces))), list(range(len(pieces)))
+        self.merges: dict[int, int] = {}  # two pieces, as one number, to the rank of their merge
+        self._many = len(pieces)
+        trie = self.trie = ahocorasick.Automaton()
+        for piece, n in number.items():
+            last = self._last_merge(piece)
+            if last is not None:  # else merging never gives this piece
+                if len(piece) > 1:
+                    self.left[n], self.right[n] = number[last[0]], number[last[1]]
+                trie.add_word(piece, n)
+        for piece in longer:  # any two pieces that give one merge, not only those of its own last merge
+            for cut in range(1, len(piece)):
+                a, b = number.get(piece[:cut]), number.get(piece[cut:])
+                if a is not None and b is not None:
+                    self.merges[a * self._many + b] = self.rank[number[piece]]
+        trie.make_automaton()
+        self.shorter = [-1] * len(pieces)
+        for n, piece in enumerate(pieces):
+            cuts = (number.get(piece[:k]) for k in range(len(piece) - 1, 0, -1))
+            self.shorter[n] = next((m for m in cuts if m is not None and pieces[m] in trie), -1)
+        self.over_space = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in ids)
+        self.fits: list[dict[int, bool]] = [{} for _ in pieces]  # for each piece, what may or may not come after it
+        self.known_fits = 0
+        self.chunks: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+
+    def _as_bytes(self, text: str) -> str:
         if not self.bytes:
-            return (self.unknown,)
-        return tuple(self.bytes[b] for b in text.encode("utf-8", "replace"))
-
-    def merged(self, text: str) -> list[str]:
-        """The pieces that merging the characters of a short text gives."""
-        parts = list(text)
-        while True:
-            best = None
-            for k in range(len(parts) - 1):
-                score = self.score.get(parts[k] + parts[k + 1])
-                if score is not None and (best is None or score > best[0]):
-                    best = (score, k)
+            return str(self.unknown)
+        return " ".join([str(self.bytes[b]) for b in text.encode("utf-8", "replace")])
+
+    def _last_merge(self, piece: str) -> tuple[str, ...] | None:
+        """The two parts that merging the piece's letters joins last; None if it doesn't give the piece."""
+        parts, last = list(piece), (piece,)
+        while len(parts) > 1:
+            ranked = [(self._ranked.get(a + b, -1), k) for k, (a, b) in enumerate(zip(parts, parts[1:]))]
+            best = min(((r, k) for r, k in ranked if r >= 0), default=None)
             if best is None:
-                return parts
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-
-    def _fit(self, before: str, piece: str) -> bool:
-        """Whether merging gives the two pieces side by side; with no piece before, the piece alone."""
-        key = (before, piece)
-        known = self.fits.get(key)
-        if known is None:
-            if len(self.fits) >= TABLE:
-                self.fits.clear()
-            known = self.fits[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
-        return known
-
-    def _next_shorter(self, piece: str) -> str | None:
-        if piece not in self.shorter:
-            cuts = (piece[:k] for k in range(len(piece) - 1, 0, -1))
-            self.shorter[piece] = next((p for p in cuts if p in self.output), None)
-        return self.shorter[piece]
-
-    def segment(self, text: str) -> list[str]:
-        """The pieces of a text of known characters, by backtracking."""
-        longest = [""] * len(text)
-        for end, (piece, back) in self.trie.iter(text):
-            longest[end - back] = piece  # a later end is a longer piece
-        taken: list[str] = []
-        failed = bytearray(len(text) // 8 + 1)
-        at, piece = 0, longest[0]
+                return None
+            last = tuple(parts[best[1] : best[1] + 2])
+            parts[best[1] : best[1] + 2] = ["".join(last)]
+        return last
+
+    def _fit(self, a: int, b: int) -> bool:
+        """Whether merging the letters of two pieces again gives the two."""
+        many, rank, merge = self._many, self.rank, self.merges.get
+        limit = 1 << 60  # when the first of the parts at the border is taken into a larger one
+        while True:
+            joined = merge(a * many + b)
+            if joined is not None and joined < limit:
+                return False
+            if rank[a] > rank[b]:
+                limit = rank[a]
+                a = self.right[a]
+            elif rank[b] >= 0:  # of two merges of one rank the right one came later
+                limit = rank[b] + 1  # a merge at the border is left of it, so it wins a tie
+                b = self.left[b]
+            else:
+                return True
+
+    def _fits_after(self, before: int, piece: int) -> bool:
+        if self.known_fits >= TABLE:
+            self.fits, self.known_fits = [{} for _ in self.fits], 0
+        self.known_fits += 1
+        ok = self.fits[before][piece] = self._fit(before, piece)
+        return ok
+
+    def segment(self, text: str) -> list[int] | None:
+        """The pieces of a text, by backtracking; None if a letter of it is in no piece."""
+        longest, size = [-1] * len(text), self.size
+        for end, piece in self.trie.iter(text):
+            longest[end + 1 - size[piece]] = piece  # a later end is a longer piece
+        if -1 in longest:
+            return None
+        taken: list[int] = []
+        at, piece, stop, failed = 0, longest[0], len(text), None
         while True:
-            end = at + len(piece)
-            bad = failed[end >> 3] >> (end & 7) & 1
-            if not bad and self._fit(taken[-1] if taken else "", piece):
+            end = at + size[piece]
+            ok = failed is None or not failed[end >> 3] >> (end & 7) & 1
+            if ok and at:
+                before = taken[-1]
+                ok = self.fits[before].get(piece)
+                if ok is None:
+                    ok = self._fits_after(before, piece)
+            if ok:
                 taken.append(piece)
                 at = end
-                if at == len(text):
+                if at == stop:
                     return taken
                 piece = longest[at]
                 continue
-            while True:
-                shorter = self._next_shorter(piece)
-                if shorter is not None:
-                    piece = shorter
-                    break
+            while self.shorter[piece] < 0:
+                if failed is None:
+                    failed = bytearray(stop // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = taken.pop()
-                at -= len(piece)
+                at -= size[piece]
+            piece = self.shorter[piece]
 
-    def _chunk(self, chunk: str) -> tuple[tuple[int, ...], str]:
-        """Ids of a chunk and their decimal text."""
-        known = self.chunks.get(chunk) or self.older.get(chunk)
+    def _chunk(self, chunk: str) -> str:
+        """The ids of a chunk in decimal."""
+        known = self.older.get(chunk)
         if known is None:
-            parts, start = [], 0
-            for k, pair in enumerate(zip(chunk, chunk[1:]), 1):
-                if pair not in self.pairs:  # no piece holds these neighbours, so no merge joins them
-                    parts.append(chunk[start:k])
-                    start = k
-            if start:
-                parts.append(chunk[start:])
-                ids = tuple(chain.from_iterable([self._chunk(p)[0] for p in parts]))
-                if len(parts) > 3:
-                    return ids, " ".join(map(str, ids))
-            elif len(chunk) == 1 and chunk not in self.output:
-                ids = self._as_bytes(chunk)
+            pieces = self.segment(chunk)
+            if pieces is not None:
+                known = " ".join([self.said[p] for p in pieces])
             else:
-                ids = tuple(chain.from_iterable([self.output[p] for p in self.segment(chunk)]))
-            known = (ids, " ".join(map(str, ids)))
-        elif chunk in self.chunks:
-            return known
-        return self._remember(chunk, known)
-
-    def _remember(self, chunk: str, value: tuple[tuple[int, ...], str]) -> tuple[tuple[int, ...], str]:
-        if len(self.chunks) >= TABLE:
-            self.older, self.chunks = self.chunks, {}
-        self.chunks[chunk] = value
-        return value
-
-    def _chunks(self, text: str | None) -> list[tuple[tuple[int, ...], str]]:
+                parts = [(known, "".join(run)) for known, run in groupby(chunk, self.letters.__contains__)]
+                said = [" ".join(map(self.said.__getitem__, self.segment(p))) if known else self._as_bytes(p) for known, p in parts]
+                known = " ".join(said)
+        if len(chunk) <= LONGEST:
+            if len(self.chunks) >= TABLE:
+                self.older, self.chunks = self.chunks, {}
+            self.chunks[chunk] = known
+        return known
+
+    def _chunks_of(self, text: str | None) -> list[str]:
         if not text:
             return []
         text = self.library.normalize(text)
+        if not text:
+            return []
         if self.over_space:
             return [self._chunk(text)]
         known = self.chunks.get
@@ -171,14 +210,15 @@ class MergeEncoder:
         """Empty the tables of chunks."""
         self.chunks, self.older = {}, {}
 
-    def encode(self, text: str | None) -> list[int]:
-        return [*chain.from_iterable([ids for ids, _ in self._chunks(text)]), self.end]
+    def encode_as_text(self, text: str | None) -> str:
+        """The ids in decimal, one space between, the end id last."""
+        return " ".join([*self._chunks_of(text), str(self.end)])
 
-    def encode_with_text(self, text: str | None) -> tuple[list[int], str]:
-        """The ids, and the same ids in decimal with one space between."""
-        chunks = self._chunks(text)
-        ids = [*chain.from_iterable([ids for ids, _ in chunks]), self.end]
-        return ids, " ".join([*(said for _, said in chunks if said), str(self.end)])
+    def encode_array(self, text: str | None) -> np.ndarray:
+        return np.fromstring(self.encode_as_text(text), np.int32, sep=" ")
+
+    def encode(self, text: str | None) -> list[int]:
+        return self.encode_array(text).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids)
@@ -190,17 +230,33 @@ def encoder(path: str) -> MergeEncoder:
     return MergeEncoder(path)
 
 
-def with_ids(docs: DataFrame, path: str, output: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every text, the end id last."""
+def with_ids(docs: DataFrame, path: str, output: str = "ids", text: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` with the ids of every text, the end id last; ``keep_text=False`` leaves the text column out."""
+    kept = [f for f in docs.schema.fields if f.name != output]
+    out = [f for f in kept if keep_text or f.name != text]
+    # Names of their own on the way, as mapInArrow takes none that hold a dot.
+    schema = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(out)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    @F.arrow_udf("array<int>")
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder(path)
-        for texts in batches:
-            yield pa.array([made.encode(t.as_py()) for t in texts], pa.list_(pa.int32()))
+        for batch in batches:
+            columns = [batch.column(k) for k, f in enumerate(kept) if keep_text or f.name != text]
+            texts = batch.column([f.name for f in kept].index(text))
+            held: list[np.ndarray] = []
+            start = size = 0
+            for k in range(batch.num_rows + 1):
+                if held and (size >= BATCH_IDS or k == batch.num_rows):
+                    ends = np.cumsum([0, *map(len, held)]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))
+                    yield pa.RecordBatch.from_arrays([*[c.slice(start, k - start) for c in columns], ids], names=schema.names)
+                    held, start, size = [], k, 0
+                if k < batch.num_rows:
+                    held.append(made.encode_array(texts[k].as_py()))
+                    size += len(held[-1])
         made.forget()  # a worker that goes on to other stages of a pipeline needs its memory
 
-    return docs.withColumn(output, ids("text"))
+    plain = docs.select(*[F.col(f"`{f.name}`").alias(f"c{k}") for k, f in enumerate(kept)])
+    return plain.mapInArrow(run, schema).toDF(*[f.name for f in out], output)
 
 
 def with_text(encoded: DataFrame, path: str, ids: str = "ids", output: str = "text") -> DataFrame:
@@ -225,8 +281,9 @@ def encoding_digests(docs: DataFrame, path: str, *others: str) -> DataFrame:
     def digests(texts: pd.Series) -> pd.DataFrame:
         made, rows = encoder(path), []
         for text in texts:
-            ids, said = made.encode_with_text(text)
-            rows.append((len(ids), _sha256(said), _sha256(made.decode(ids))))
+            said = made.encode_as_text(text)
+            ids = np.fromstring(said, np.int32, sep=" ")
+            rows.append((len(ids), _sha256(said), _sha256(made.decode(ids.tolist()))))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     made = docs.select("doc_id", *others, digests("text").alias("made"))
