@@ -7,10 +7,12 @@ documents' lengths, or the ids of a range of documents, reads just those pages (
 
 Documents are written in ascending doc_id order: a range exchange of the texts, a sort in each part, and the ids made
 in that order in Arrow batches.  A row stores its start within its part; the start in the whole corpus adds the sums
-of the parts before, a table of one row per part.  No part needs another one, so a lost executor costs its parts only.
+of the parts before, a table of one small row per file, which a reader broadcasts.  No part needs another one, so a lost
+executor costs its parts only.  There are as many parts as Spark's estimate of the input's size asks for.
 
-Runs of letters repeat, so their ids are looked up in a bounded table first.  That is exact for the tokenizer used here,
-which lower-cases, drops white space and cuts a text into such runs; ``whole_texts`` turns it off for others.
+Runs of letters repeat, so their ids are looked up in a bounded table first.  That is exact for a tokenizer that brings
+texts into composed form and lower case, drops white space and cuts a text into such runs, which is read from its file;
+with any other one, texts are encoded as a whole.
 
 Edge cases.  A null text has the end id alone.  A null doc_id comes first.  Rows with equal doc_id are ordered by a
 hash of their text; equal rows are interchangeable.  Long texts are written whole; a batch is cut by its number of
@@ -19,6 +21,7 @@ ids.  An empty table gives files without rows.  Columns other than doc_id and te
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -38,6 +41,37 @@ BATCH_IDS = 1 << 21
 LEARN_CHARS = 1 << 20
 #: Entries after which the newer of two tables of known runs becomes the older one; what is found there moves back.
 TABLE = 350_000
+#: Bytes of input for each part of the range exchange, and the most parts.
+PART_BYTES, MOST_PARTS = 32 << 20, 100_000
+#: Files up to which their starts are broadcast, at most 24 bytes each.
+BROADCAST_FILES = 1 << 20
+
+# What a tokenizer's file says if it makes its runs as this module does.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_RUN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_RUN_SPLIT = {"type": "Split", "pattern": {"Regex": _RUN_PATTERN}, "behavior": "Removed", "invert": True}
+
+
+def makes_known_runs(tokenizer: str) -> bool:
+    """Whether the tokenizer (its JSON) cuts texts into the runs that ``RunTable`` makes, each with an end of its own."""
+    told = json.loads(tokenizer)
+    normalizer, cutter, model = told.get("normalizer") or {}, told.get("pre_tokenizer") or {}, told.get("model") or {}
+    steps = cutter.get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == _NORMALIZERS
+        and steps[0] == _RUN_SPLIT
+        and [(p.get("type"), p.get("use_regex"), p.get("add_prefix_space")) for p in steps[1:]] == [("ByteLevel", False, False)]
+        and model.get("type") == "BPE"
+        and model.get("end_of_word_suffix") == "</w>"
+        and not model.get("dropout")
+        and not told.get("truncation")
+        and not told.get("padding")
+        and all(t["special"] and not t["normalized"] and t["content"].startswith("<|") for t in told.get("added_tokens", []))
+    )
 
 
 class RunTable:
@@ -49,12 +83,12 @@ class RunTable:
     module doesn't make for sure as the tokenizer does, it is cut at blanks, and such words are encoded alone.
     """
 
-    def __init__(self, path: str, whole_texts: bool = False):
+    def __init__(self, path: str, whole_texts: bool | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = whole_texts
+        self.whole = not makes_known_runs(self.tokenizer.to_str()) if whole_texts is None else whole_texts
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -112,8 +146,8 @@ class RunTable:
 
 
 # The tokenizer's own runs, in lower case: for printable ASCII, and with other letters.
-_ASCII_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-_LETTER_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+_ASCII_RUNS = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9]+")
+_LETTER_RUNS = re.compile(r"[^\W\d_]+|[0-9]|'(?:[stmd]|re|ve|ll)|(?:[^\s\w]|_)+")
 _UNSURE = re.compile(r"[\x00-\x08\x0b-\x1f\x7f]|<\|")
 
 
@@ -131,7 +165,7 @@ def _runs(text: str) -> list[str] | None:
 
 
 @lru_cache(1)
-def _table(path: str, whole_texts: bool) -> RunTable:
+def _table(path: str, whole_texts: bool | None) -> RunTable:
     return RunTable(path, whole_texts)
 
 
@@ -153,12 +187,15 @@ def write_tokens(
     tokenizer: str,
     end_id: int,
     encoding: str = "dictionary",
-    whole_texts: bool = False,
+    whole_texts: bool | None = None,
     row_group_bytes: int = ROW_GROUP_BYTES,
     page_bytes: int = PAGE_BYTES,
     page_rows: int = PAGE_ROWS,
 ) -> None:
-    """Write part, doc_id, first, n_tokens, ids; ``first`` counts the ids before it in its part."""
+    """Write part, doc_id, first, n_tokens, ids; ``first`` counts the ids before it in its part.
+
+    ``whole_texts`` says that runs are not to be looked up; unset, the tokenizer's file decides.
+    """
     kind = docs.schema["doc_id"].dataType
     out = pa.schema(
         [("part", pa.int32()), ("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
@@ -189,7 +226,10 @@ def write_tokens(
                 before += held
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), F.xxhash64(whole_text()).alias("tie"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, min(MOST_PARTS, size // PART_BYTES))
+    rows = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     made = rows.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(
         run, "part int, doc_id long, first long, n_tokens long, ids array<int>"
     )
@@ -208,6 +248,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     parts = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    if len(files.inputFiles()) <= BROADCAST_FILES:  # a part is one file
+        starts = F.broadcast(starts)
     return files.join(starts, "part").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
 
 

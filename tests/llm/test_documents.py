@@ -305,3 +305,82 @@ def test_pipeline_against_plain_python(spark, sf):
     component = near_components(rows, 5)
     assert {r.doc_id for r in kept.select("doc_id").collect()} == {i for i, _ in rows if component[i] == i}
     assert len(first) >= docs.count() - 5
+
+
+def test_neighbours_conflict_as_merging_says():
+    made = pieces.MergeEncoder(PIECES)
+    library = made.library
+    import random
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdeinrst ▁éß中x") for _ in range(rng.randrange(1, 30))) for _ in range(3000)]
+    texts += ["a" * n for n in range(1, 40)] + [" " * n + "x" for n in range(8)] + ["ab" * 50, "\x00\x01", "🙂🙂 é🙂", "퟿"]
+    for text in texts:
+        assert made.encode(text) == [*library.encode(text), library.eos_id()], text
+
+
+def test_ids_beside_the_other_columns(spark, odd):
+    fields = odd.columns
+    whole = pieces.with_ids(odd, PIECES, output="size")  # replaces a column
+    assert whole.columns == [*[c for c in fields if c != "size"], "size"]
+    assert "text" not in pieces.with_ids(odd, PIECES, keep_text=False).columns
+    got = Counter((r["doc_id"], r["a.b"], tuple(r["size"])) for r in whole.collect())
+    library = pieces.MergeEncoder(PIECES).library
+    expected = Counter((r["doc_id"], r["a.b"], (*library.encode(r["text"] or ""), library.eos_id())) for r in odd.collect())
+    assert got == expected
+
+
+def test_tokenizers_that_cut_otherwise_are_seen():
+    words = open(tokenizer_path("word_bpe_49k.json")).read()
+    assert token_files.makes_known_runs(words)
+    assert not token_files.makes_known_runs(open(tokenizer_path("byte_bpe_50k.json")).read())
+    assert not token_files.makes_known_runs(words.replace('"Lowercase"', '"NFKC"'))
+
+
+def test_files_of_another_tokenizer(spark, odd):
+    from tokenizers import Tokenizer
+
+    path, other = work_path(spark, "tokens"), tokenizer_path("byte_bpe_50k.json")
+    token_files.write_tokens(odd, path, other, 1)
+    tokenizer = Tokenizer.from_file(other)
+    expected = Counter((i, tuple(tokenizer.encode(t or "", add_special_tokens=False).ids) + (1,)) for i, t in ROWS)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in token_files.read_tokens(spark, path).collect()) == expected
+
+
+@pytest.mark.parametrize("encoding", ["dictionary", "delta"])
+def test_written_encodings_and_indexes(spark, tmp_path, encoding):
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(i, f"word {i} and " * 200) for i in range(3000)], "doc_id long, text string").repartition(4)
+    path = str(tmp_path / "tokens")
+    token_files.write_tokens(docs, path, tokenizer_path("word_bpe_49k.json"), 1, encoding=encoding, page_rows=100, page_bytes=4096, row_group_bytes=100_000)
+    for file in (tmp_path / "tokens").glob("*.parquet"):
+        told = pq.ParquetFile(file).metadata
+        for g in range(told.num_row_groups):
+            for c in range(told.num_columns):
+                column = told.row_group(g).column(c)
+                assert column.has_offset_index and column.has_column_index
+                if column.path_in_schema.startswith("ids"):
+                    assert ("DELTA_BINARY_PACKED" in column.encodings) == (encoding == "delta")
+                    assert ("RLE_DICTIONARY" in column.encodings) == (encoding == "dictionary")
+                else:
+                    assert "DELTA_BINARY_PACKED" in column.encodings
+
+
+def test_selective_reads_touch_the_columns_and_rows_asked_for(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(3000)], "doc_id long, text string")
+    path = str(tmp_path / "tokens")
+    token_files.write_tokens(docs, path, tokenizer_path("word_bpe_49k.json"), 1)
+    some = token_files.read_tokens(spark, path).where("doc_id BETWEEN 100 AND 110")
+    plan = some.select("doc_id", "n_tokens")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert not any("ids:" in line for line in scans)  # ids are not read for lengths
+    assert any("GreaterThanOrEqual(doc_id,100)" in line for line in scans)  # the range reaches the pages
+    assert some.count() == 11
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # the ids are not shuffled to find their starts
+        plan = token_files.read_tokens(spark, path)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
