@@ -23,6 +23,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ SAMPLE_ROWS = 24 * PER_LANGUAGE
 FAMILY_SIZE = 16
 LIMIT_QUANTILE, LIMIT_PART = 0.005, 0.3
 PIECE = 1 << 20
+FEATURE_ROWS = 256
 
 # Families of languages by ISO 639-1 code.  A language not listed is a family of its own.
 FAMILIES = {
@@ -157,12 +159,16 @@ def training_sample(docs: DataFrame, per_language: int, sample_rows: int) -> Dat
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """A model from the labelled rows of ``docs`` (doc_id, text, lang)."""
 
-    @F.pandas_udf("binary")
-    def features(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: trigram_counts(t).astype(np.float32).tobytes())
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, FEATURE_ROWS):  # a row of features has 16 KB
+                rows = batch.slice(start, FEATURE_ROWS)
+                made = [trigram_counts(t.as_py()).astype(np.float32).tobytes() for t in rows.column("text")]
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("lang"), pa.array(made, pa.binary())], ["doc_id", "lang", "x"])
 
     sample = training_sample(docs, per_language, sample_rows)
-    rows = sample.select("doc_id", "lang", features("text").alias("x")).collect()
+    kinds = f"doc_id {sample.schema['doc_id'].dataType.simpleString()}, lang string, x binary"
+    rows = sample.mapInArrow(features, kinds).collect()
     rows.sort(key=lambda r: (r["lang"], r["doc_id"], bytes(r["x"])))
     if not rows:
         return LanguageModel(None, {})

@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from moodtape.llm.common import staged
+from moodtape.llm.common import may_be_among, staged
 from moodtape.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -169,14 +169,14 @@ def _nodes(sketches: DataFrame) -> DataFrame:
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """bucket, node, n: the hash of each band of registers that isn't all empty."""
+    """bucket, node: the hash of each band of registers that isn't all empty."""
     width = 2 * BAND_ROWS
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.struct(b.alias("band"), F.col("registers").substr(b * width + 1, F.lit(width)).alias("part")),
     )
-    rows = nodes.select("node", "n", F.explode(bands).alias("b")).where(F.col("b.part") != F.lit(bytes(width)))
-    return rows.select(F.xxhash64("b.band", "b.part").alias("bucket"), "node", "n")
+    rows = nodes.select("node", F.explode(bands).alias("b")).where(F.col("b.part") != F.lit(bytes(width)))
+    return rows.select(F.xxhash64("b.band", "b.part").alias("bucket"), "node")
 
 
 def _sizes_fit(a: str, b: str, percent: int):
@@ -214,16 +214,20 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int,
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """node, shingles: the sets of the wanted nodes, from their whole texts."""
+    kinds = "node long, shingles binary"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(text, words) for text in batch["text"]]
-            digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield pd.DataFrame({"node": batch["node"], "set_hash": digests, "shingles": [s.tobytes() for s in sets]})
+            # a doc_id's other rows may have other sets
+            same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() == bytes(h) for s, h in zip(sets, batch["set_hash"])]
+            yield pd.DataFrame({"node": batch["node"][same], "shingles": [s.tobytes() for s, ok in zip(sets, same) if ok]})
 
+    wanted = staged(wanted.join(nodes.select("node", "set_hash"), "node"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").alias("text")).where("node IS NOT NULL")
-    made = texts.join(wanted, "node", "left_semi").mapInPandas(run, "node long, set_hash binary, shingles binary")
-    return staged(made.join(nodes.select("node", "set_hash"), ["node", "set_hash"], "left_semi").drop("set_hash"), "full-sets")
+    # Of other texts next to none are shuffled.
+    texts = texts.where(may_be_among(F.col("node"), wanted.select("node"))).join(wanted, "node")
+    return staged(texts.select("node", "text", "set_hash").mapInPandas(run, kinds), "full-sets")
 
 
 def _first_links(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -294,10 +298,11 @@ def _region_links(labelled: DataFrame, crowded: DataFrame, nodes: DataFrame, doc
 def _later_links(members: DataFrame, found: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """All links that are left between components; of those to one component in a crowd, at least one."""
     labelled = members.join(found, "node", "left")
-    labelled = staged(labelled.select("bucket", "node", "n", "size", F.coalesce("component", "node").alias("component")), "labelled")
+    labelled = staged(labelled.select("bucket", "node", "size", F.coalesce("component", "node").alias("component")), "labelled")
     sizes = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.max("size").alias("size"))
     mixed = staged(sizes.where("least <> most").select("bucket", (F.col("size") > CROWD).alias("crowded")), "mixed")
-    few = labelled.join(mixed.where("NOT crowded").select("bucket"), "bucket").select("bucket", "node", "n", "component")
+    few = labelled.join(mixed.where("NOT crowded").select("bucket"), "bucket").select("bucket", "node", "component")
+    few = few.join(nodes.select("node", "n"), "node")
     other = few.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("node", "n", "component")])
     apart = F.col("component") != F.col("other_component")
     tried = few.join(other, "bucket").where(apart & (F.col("node") < F.col("other_node")) & _sizes_fit("n", "other_n", percent))
@@ -314,10 +319,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     sketches = _sketches(docs, words)
     nodes = _nodes(sketches)
     bands = _bands(nodes)
-    stats = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = staged(bands.join(stats, "bucket"), "members")
+    # One exchange of the bands: they are counted where they lie.
+    counted = bands.withColumn("size", F.count("*").over(Window.partitionBy("bucket")))
+    members = staged(counted.where("size > 1"), "members")
     # Few nodes share a bucket with another; the registers of all others are not shuffled again.
-    sharing = staged(nodes.join(members.select("node").distinct(), "node", "left_semi"), "sharing-nodes")
+    sharers = staged(members.select("node").distinct(), "sharers")
+    sharing = nodes.where(may_be_among(F.col("node"), sharers)).join(sharers, "node", "left_semi")
+    sharing = staged(sharing, "sharing-nodes")
     links = _first_links(members, sharing, docs, words, percent)
     # a doc_id with several different sets ties them together
     several = sketches.where("doc_id IS NOT NULL").groupBy("doc_id")

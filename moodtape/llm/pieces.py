@@ -52,9 +52,11 @@ BATCH_IDS = 1 << 20
 class MergeEncoder:
     """Encodes texts with a merge-type SentencePiece model, an end id at the end."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, table: int = TABLE):
         import sentencepiece
 
+        self.table = table
+
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
         every = range(sp.get_piece_size())
         if any(sp.is_unused(i) for i in every):
@@ -140,7 +142,7 @@ class MergeEncoder:
                 return True
 
     def _fits_after(self, before: int, piece: int) -> bool:
-        if self.known_fits >= TABLE:
+        if self.known_fits >= self.table:
             self.fits, self.known_fits = [{} for _ in self.fits], 0
         self.known_fits += 1
         ok = self.fits[before][piece] = self._fit(before, piece)
@@ -190,7 +192,7 @@ class MergeEncoder:
                 said = [" ".join(map(self.said.__getitem__, self.segment(p))) if known else self._as_bytes(p) for known, p in parts]
                 known = " ".join(said)
         if len(chunk) <= LONGEST:
-            if len(self.chunks) >= TABLE:
+            if len(self.chunks) >= self.table:
                 self.older, self.chunks = self.chunks, {}
             self.chunks[chunk] = known
         return known
@@ -225,20 +227,23 @@ class MergeEncoder:
 
 
 @lru_cache(1)
-def encoder(path: str) -> MergeEncoder:
+def encoder(path: str, table: int = TABLE) -> MergeEncoder:
     """One encoder for each worker process."""
-    return MergeEncoder(path)
+    return MergeEncoder(path, table)
+
 
+def with_ids(docs: DataFrame, path: str, output: str = "ids", text: str = "text", keep_text: bool = True, table: int = TABLE) -> DataFrame:
+    """``docs`` with the ids of every text, the end id last; ``keep_text=False`` leaves the text column out.
 
-def with_ids(docs: DataFrame, path: str, output: str = "ids", text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with the ids of every text, the end id last; ``keep_text=False`` leaves the text column out."""
+    ``table`` bounds a worker's tables, for jobs that need its memory: about 250 bytes an entry, in three tables.
+    """
     kept = [f for f in docs.schema.fields if f.name != output]
     out = [f for f in kept if keep_text or f.name != text]
     # Names of their own on the way, as mapInArrow takes none that hold a dot.
     schema = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(out)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = encoder(path)
+        made = encoder(path, table)
         for batch in batches:
             columns = [batch.column(k) for k, f in enumerate(kept) if keep_text or f.name != text]
             texts = batch.column([f.name for f in kept].index(text))

@@ -26,6 +26,7 @@ import os
 import re
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -78,9 +79,9 @@ class RunTable:
     """Ids of texts as little-endian 32-bit integers, put together from those of their runs.
 
     The tokenizer first cuts a text into runs (letters, one digit, other signs, short endings such as 's), whose ids
-    don't depend on each other; a table holds the runs known so far.  New runs are encoded many at a time, one blank
-    between; the token that ends a run tells where each one's ids stop.  Where a text holds anything whose runs this
-    module doesn't make for sure as the tokenizer does, it is cut at blanks, and such words are encoded alone.
+    don't depend on each other; a table holds the runs known so far.  A new run goes straight to the tokenizer's merges.
+    Where a text holds anything whose runs this module doesn't make for sure as the tokenizer does, it is cut at blanks,
+    and such words are encoded alone.
     """
 
     def __init__(self, path: str, whole_texts: bool | None = None):
@@ -89,9 +90,6 @@ class RunTable:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.whole = not makes_known_runs(self.tokenizer.to_str()) if whole_texts is None else whole_texts
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -133,16 +131,21 @@ class RunTable:
     def _learn(self, new: set[str]) -> None:
         again = new.intersection(self.older)
         self.known.update(zip(again, map(self.older.__getitem__, again)))
-        todo = list(new.difference(again))
-        for start in range(0, len(todo), 1000):
-            runs = todo[start : start + 1000]
-            ids = self._ids(" ".join(runs))
-            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            if len(stops) == len(runs):
-                raw = ids.tobytes()
-                self.known.update((run, raw[a:b]) for run, a, b in zip(runs, [0, *stops], stops))
-            else:
-                self.known.update((run, self._ids(run).tobytes()) for run in runs)
+        tokenize, known = self.tokenizer.model.tokenize, self.known
+        for run in new.difference(again):
+            # Runs are as the tokenizer's own first steps leave them, so its model takes them, with a letter for each byte.
+            raw = run.encode("utf-8", "replace").decode("latin-1").translate(_BYTE_LETTERS)
+            known[run] = array("I", [token.id for token in tokenize(raw)]).tobytes()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself where it can be seen, else the next of those from 256 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(unseen)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 # The tokenizer's own runs, in lower case: for printable ASCII, and with other letters.
