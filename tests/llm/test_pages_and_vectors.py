@@ -1,6 +1,10 @@
 """Main text of pages, nearest vectors, and the registered SQL."""
 
+from html.parser import HTMLParser
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
@@ -52,6 +56,110 @@ def test_small_articles_do_not_label_a_page():
     assert "word" not in {kind for kind, _, _ in main_text.tokens(PAGE)}
 
 
+REAL = " ".join(f"real{k}" for k in range(200))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<div class="content with-sidebar"><p>{REAL}</p></div>',
+        f'<div class="post comments-open"><p>{REAL}</p></div>',
+        f'<div class="no-sidebar"><p>{REAL}</p></div>',
+        f'<div id="share-page"><p>{REAL}</p></div>',
+        f'<article class="ad-free story"><p>{REAL}</p></article>',
+        f'<form id="aspnetForm"><div><p>{REAL}</p></div></form>',
+        f'<main><p class="discussion">{REAL}</p></main>',
+        f'<div><aside>note<p>{REAL}</p></div>',
+        f'<aside>note<p>{REAL}</p>',
+        f'<div class="sidebar"><p>{REAL}</p></div>',
+        f'<div class="content with-sidebar"><p>{REAL}</p></div><div class="sidebar">{"more " * 50}</div>',
+        f'<form id="aspnetForm"><div class="nav-bar"><a href="x">menu item</a></div><p>{REAL}</p><div class="footer">left over</div></form>',
+    ],
+)
+def test_names_do_not_take_the_page(page):
+    for w in (weights(), weights() | {"mark sidebar": -3.0, "mark share": -3.0, "mark comments": -3.0, "mark ad": -3.0}):
+        text = main_text.main_text(page, w)
+        assert REAL in text
+        assert not any(x in text for x in ("more more", "menu item", "left over"))
+
+
+@pytest.mark.parametrize(
+    "junk",
+    [
+        '<div class="comments">{}</div>',
+        '<ol class="comment-list"><li>{}</li></ol>',
+        '<section id="comments"><p>{}</p></section>',
+        '<div role="complementary">{}</div>',
+        '<div class="x cookie-notice">{}</div>',
+        '<form><label>{}</label><input name="q"></form>',
+        '<aside><p>{}</p></aside>',
+        '<p class="ad">{}</p>',
+        '<div class="header">{}</div>',
+    ],
+)
+def test_boilerplate_stays_out(junk):
+    said = " ".join(f"junk{k}" for k in range(80))
+    page = f"<div><article><h1>Head</h1><p>{REAL}</p>{junk.format(said)}<p>The end</p></article></div>"
+    if 'class="header"' not in junk:
+        assert main_text.main_text(page, weights()) == f"Head\n{REAL}\nThe end"
+    outside = f"<div><p>{REAL}</p></div>{junk.format(said)}"
+    assert "junk1" not in main_text.main_text(outside, weights())
+
+
+def test_runs_against_all_runs():
+    rng = np.random.RandomState(8)
+    for n in [0, 1, 2, 5, 30] * 20:
+        scores = rng.randint(-4, 4, n).tolist()
+        start, stop = main_text.best_run(scores)
+        every = {(a, b): sum(scores[a:b]) for a in range(n) for b in range(a + 1, n + 1)}
+        most = max([0, *every.values()])
+        # of equal runs the one that ends first, then the shortest
+        best = min(((b, b - a) for (a, b), total in every.items() if total == most and most > 0), default=(0, 0))
+        assert (start, stop) == (best[0] - best[1], best[0])
+
+
+class Article(HTMLParser):
+    """The blocks of the article element, without adverts: what a page of the given tables says its text is."""
+
+    blocks = set("article h1 h2 h3 p div ul li section".split())
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.ad, self.lines = False, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if self.ad or (tag == "div" and ("class", "ad") in attrs):
+            self.ad += tag == "div"
+        if tag in self.blocks:
+            self.lines.append("")
+        if tag == "br":
+            self.lines[-1] += " "
+
+    def handle_endtag(self, tag):
+        if self.ad:
+            self.ad -= tag == "div"
+        if tag in self.blocks:
+            self.lines.append("")
+        self.inside &= tag != "article"
+
+    def handle_data(self, data):
+        if self.inside and not self.ad:
+            self.lines[-1] += data
+
+
+def test_all_pages_of_a_table(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r.page_id: r.text for r in catalog.op4_main_text(spark, folder).collect()}
+    pages = spark.read.parquet(f"{folder}/pages.parquet").collect()
+    assert set(got) == {p.page_id for p in pages}
+    for p in pages:
+        plain = Article()
+        plain.feed(p.html)
+        plain.close()
+        assert got[p.page_id] == "\n".join(" ".join(line.split()) for line in plain.lines if line.strip()), p.page_id
+
+
 def test_best_run():
     assert main_text.best_run([-1, 2, -1, 2, -5, 2]) == (1, 4)
     assert main_text.best_run([1, -1, 1]) == (0, 1)
@@ -101,16 +209,19 @@ def test_outlier_leaves_do_not_shorten_answers(spark):
     assert {r["count"] for r in found} == {20}
 
 
-def test_recall(spark):
-    folder = "/root/testdata/check_s"
-    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
-    ids, vectors = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+@pytest.mark.parametrize("rows", [9000, 20000])
+def test_recall(spark, tmp_path, rows):
+    rng = np.random.RandomState(rows)
+    centres = rng.randn(60, 32)
+    vectors = (centres[rng.randint(0, 60, rows)] + 0.5 * rng.randn(rows, 32)).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(rows), "embedding": vectors.tolist()}), tmp_path / "embeddings.parquet")
     got = {}
-    for r in catalog.op6_vector_tree(spark, folder).collect():
+    for r in catalog.op6_vector_tree(spark, str(tmp_path)).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
-    asked = ids[ids % 20 == 0]
-    assert set(got) == set(asked.tolist())
-    hits = sum(len(got[q] & {i for _, _, i, _ in exact(ids, vectors, q, 20)}) for q in asked[:150])
+    asked = np.arange(0, rows, 20)
+    assert set(got) == set(asked.tolist()) and {len(found) for found in got.values()} == {20}
+    ids, wide = np.arange(rows), vectors.astype(np.float64)
+    hits = sum(len(got[q] & {i for _, _, i, _ in exact(ids, wide, q, 20)}) for q in asked[:150])
     assert hits / (20 * 150) >= 0.9
 
 
