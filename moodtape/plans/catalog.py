@@ -134,7 +134,7 @@ def sentiment_history(spark, d):
 
 
 def sentiment_history_ticker(spark, d):
-    return views.sentiment_history(star.daily(spark, d), AS_OF, ticker=TICKER.lower())
+    return views.sentiment_history(star.daily(spark, d), AS_OF, ticker=TICKER.lower(), tickers=star.tickers(spark, d))
 
 
 def latest_sentiment(spark, d):
@@ -281,6 +281,33 @@ def upsert_replace(spark, d):
     return tables.read("daily_sentiment").drop("computed_at")
 
 
+def article_ids(spark, d):
+    """The ids that stored articles get: digests of their keys."""
+    tables = Tables(spark, work_path(spark, "ids")).create("raw_sentiment")
+    tables.insert("raw_sentiment", _ranked_raw(spark, d), [F.col("url").cast("bigint")])
+    return tables.read("raw_sentiment").select("id", "source", "source_id", "ticker")
+
+
+def stored_defaults(spark, d):
+    """What tables fill in where a written frame lacks a column or holds NULL in it."""
+    tables = Tables(spark, work_path(spark, "defaults")).create("raw_sentiment", "daily_sentiment")
+    tables.append("raw_sentiment", star.raw_articles(spark, d).drop("id", "upvotes", "author"))
+    nullified = star.daily(spark, d).withColumn("news_mentions", F.nullif("news_mentions", "total_mentions"))
+    tables.append("daily_sentiment", nullified.drop("yahoo_finance_mentions"))
+    raw = tables.read("raw_sentiment").groupBy("ticker", F.col("collected_date").alias("day")).agg(
+        F.sum("upvotes").alias("upvotes"), F.count("author").alias("authors"), F.count("ingested_at").alias("stamped")
+    )
+    rolled = tables.read("daily_sentiment").select(
+        "ticker", F.col("sentiment_date").alias("day"), "news_mentions", "yahoo_finance_mentions"
+    )
+    return raw.join(rolled, ["ticker", "day"])
+
+
+def collected_articles(spark, d):
+    """What one run collects from all three kinds of articles, in one frame."""
+    return feed_news(spark, d).unionByName(feed_xml(spark, d)).unionByName(article_json(spark, d))
+
+
 def sql_scan(spark, d):
     """A parametrised SQL query over the stored tables and views."""
     tables = Tables(spark, work_path(spark, "scan")).create()
@@ -543,6 +570,9 @@ QUERIES = {
         unscored,
         upsert_ignore,
         upsert_replace,
+        article_ids,
+        stored_defaults,
+        collected_articles,
         sql_scan,
         keyword_match,
         keyword_match_large,

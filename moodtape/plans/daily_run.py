@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from moodtape.dimensions import HOLIDAYS, keywords_or_ticker, seed_keywords, tra
 from moodtape.operators import articles, bars, correlation, daily, quality, scoring
 from moodtape.plans import views
 from moodtape.sources import landing
+from moodtape.sources.files import Files
 from moodtape.sources.tables import Tables
 
 
@@ -24,7 +25,8 @@ log = logging.getLogger(__name__)
 class Landing:
     """Where the files of each kind land; a missing path means none are expected.
 
-    Below a path there is one folder per run date, ``run_date=YYYY-MM-DD``.
+    Below a path there is one folder per run date, ``run_date=YYYY-MM-DD``.  Under
+    ``records`` the collected article records are landed in turn, as JSON.
     """
 
     bars: str | None = None
@@ -32,6 +34,11 @@ class Landing:
     ticker_feeds: str | None = None
     json_articles: str | None = None
     json_multi_line: bool = False  # whether JSON articles are arrays over several lines
+    records: str | None = None
+
+
+#: The kinds of files a run collects, each for itself.
+KINDS = ("bars", "feeds", "ticker_feeds", "json_articles")
 
 
 def _of(path: str, run_date: str) -> str:
@@ -74,7 +81,29 @@ def article_records(
 
 
 def collect_articles(tables: Tables, place: Landing, run_date: str, ingest_ts: dt.datetime, **kw) -> int:
-    return tables.insert("raw_sentiment", article_records(tables, place, run_date, ingest_ts, **kw))
+    records = article_records(tables, place, run_date, ingest_ts, **kw)
+    if place.records:
+        landing.write_article_records(records, place.records, run_date)
+    return tables.insert("raw_sentiment", records)
+
+
+def landed_kinds(tables: Tables, place: Landing, run_date: str) -> tuple[Landing, list[str]]:
+    """The places that have a folder for the day, and the kinds that are expected but have none."""
+    files = Files(tables.spark)
+    missing = [k for k in KINDS if getattr(place, k) and not files.exists(_of(getattr(place, k), run_date))]
+    return replace(place, **dict.fromkeys(missing)), missing
+
+
+def collect(tables: Tables, place: Landing, run_date: str, ingest_ts: dt.datetime, lookback_days: int = 1) -> list[str]:
+    """Collect every kind of file that landed; the kinds that did not.  Whether the rest will do is for the checks to say."""
+    there, missing = landed_kinds(tables, place, run_date)
+    if there.bars:
+        collect_prices(tables, there, run_date, lookback_days)
+    if there.feeds or there.ticker_feeds or there.json_articles:
+        collect_articles(tables, there, run_date, ingest_ts)
+    if missing:
+        log.warning("nothing landed on %s of: %s", run_date, ", ".join(missing))
+    return missing
 
 
 def score(tables: Tables, run_date: str, load_scorer: Callable[[], scoring.Scorer] | None = None) -> int:
@@ -139,8 +168,7 @@ def run_daily(
     if run_date in holidays:
         return None
     ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    collect_prices(tables, place, run_date, lookback_days)
-    collect_articles(tables, place, run_date, ingest_ts)
+    collect(tables, place, run_date, ingest_ts, lookback_days)
     collection_gate(tables, run_date)
     score(tables, run_date, load_scorer)
     scoring_gate(tables, run_date)
@@ -155,14 +183,6 @@ def run_daily(
     }
 
 
-def _has_landed(tables: Tables, place: Landing, run_date: str) -> bool:
-    """Whether every kind of file that is expected has a folder for the day."""
-    hadoop = tables.spark._jvm.org.apache.hadoop.fs.Path
-    conf = tables.spark._jsc.hadoopConfiguration()
-    folders = [_of(p, run_date) for p in (place.bars, place.feeds, place.ticker_feeds, place.json_articles) if p]
-    return all(hadoop(f).getFileSystem(conf).exists(hadoop(f)) for f in folders)
-
-
 def backfill(
     tables: Tables,
     start: str,
@@ -177,21 +197,24 @@ def backfill(
     """Collect, score, roll up and correlate every day of a range, each step after collection as one job.
 
     With ``place`` the files that landed on the trading days of the range are
-    collected first, day by day, as inserts of a day read that day's folders
-    only; without it the prices and articles already stored are taken.  A day
-    that fails a critical check, or has nothing landed, is left out from then on
-    and the others go on, as each day stands for itself.  The days left out are
-    in the result; why is in ``quality.report``.
+    collected first, day by day and kind by kind, as inserts of a day read that
+    day's folders only; without it the prices and articles already stored are
+    taken.  A day that fails a critical check is left out from then on and the
+    others go on, as each day stands for itself.  The days left out are in the
+    result, as are the kinds of files that had not landed on a day; why a day was
+    left out is in ``quality.report``.
     """
     first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    not_landed: dict[str, list[str]] = {}
     if place is not None:
         ingest_ts = ingest_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         day, until = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
         while day <= until:
             run_date = day.isoformat()
-            if run_date not in holidays and _has_landed(tables, place, run_date):
-                collect_prices(tables, place, run_date, collect_lookback_days)
-                collect_articles(tables, place, run_date, ingest_ts)
+            if day.weekday() < 5 and run_date not in holidays:
+                missing = collect(tables, place, run_date, ingest_ts, collect_lookback_days)
+                if missing:
+                    not_landed[run_date] = missing
             day += dt.timedelta(days=1)
 
     def in_range(name: str, column: str) -> DataFrame:
@@ -234,4 +257,4 @@ def backfill(
     ).filter(F.col("analysis_date").isin(passed))
     correlated = tables.replace("sentiment_price_correlation", found, ["ticker", "analysis_date"])
     left_out = sorted(r["run_date"].isoformat() for r in calendar.collect() if r["run_date"] not in set(passed))
-    return {"scored": scored, "aggregated": rolled, "correlated": correlated, "left_out": left_out}
+    return {"scored": scored, "aggregated": rolled, "correlated": correlated, "left_out": left_out, "not_landed": not_landed}

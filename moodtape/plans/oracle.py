@@ -494,3 +494,18 @@ ORACLE: dict[str, str] = {
     "stream_dedup": query("select distinct source, source_id, ticker, collected_date from raw", "raw"),
     "stream_ingest": query("select * from first_raw", "raw", first_raw=FIRST_RAW),
 }
+
+ORACLE |= {
+    "article_ids": query(
+        """select md5(source || chr(31) || ticker || chr(31) || source_id) id, source, source_id, ticker
+        from (select distinct source, source_id, ticker from raw)""",
+        "raw",
+    ),
+    "stored_defaults": query(
+        """select r.*, coalesce(nullif(news_mentions, total_mentions), 0) news_mentions, 0 yahoo_finance_mentions
+        from (select ticker, collected_date as day, 0 upvotes, 0 authors, count(*) stamped from raw group by 1, 2) r
+        join daily d on d.ticker = r.ticker and d.sentiment_date = r.day""",
+        "raw", "daily",
+    ),
+    "collected_articles": " union all ".join(f"select * from ({ORACLE[n]})" for n in ("feed_news", "feed_xml", "article_json")),
+}

@@ -46,6 +46,25 @@ def _ticker(code: str | None) -> str | None:
     return None if code is None else code.upper()
 
 
+class UnknownTickerError(LookupError):
+    """A ticker that is not tracked."""
+
+
+def tracked_ticker(tickers: DataFrame, code: str) -> str:
+    """The ticker as it is stored, whatever its case; one that is not in the dimension is refused."""
+    upper = code.upper()
+    if tickers.filter(F.col("ticker") == upper).isEmpty():
+        raise UnknownTickerError(f"ticker {code!r} is not tracked")
+    return upper
+
+
+def _of_ticker(df: DataFrame, code: str | None, tickers: DataFrame | None) -> DataFrame:
+    """The rows of one ticker, or all; with the dimension at hand an unknown one is refused."""
+    if code is not None and tickers is not None:
+        tracked_ticker(tickers, code)
+    return _only(df, "ticker", _ticker(code))
+
+
 def _newest_first(df: DataFrame, single: str | None, key: str, day: str) -> DataFrame:
     return df.orderBy(F.desc(day)) if single is not None else df.orderBy(key, F.desc(day))
 
@@ -108,23 +127,27 @@ def active_tickers(tickers: DataFrame) -> DataFrame:
     return tickers.filter("is_active").select("ticker", "company_name", "sector", "industry").orderBy("ticker")
 
 
-def sentiment_history(daily: DataFrame, as_of: str, days: int = 30, ticker: str | None = None) -> DataFrame:
+def sentiment_history(
+    daily: DataFrame, as_of: str, days: int = 30, ticker: str | None = None, tickers: DataFrame | None = None
+) -> DataFrame:
     """Daily sentiment of one ticker, or of all, over the look-back."""
-    rows = _only(daily, "ticker", _ticker(ticker)).filter(F.col("sentiment_date") >= _since(as_of, days))
+    rows = _of_ticker(daily, ticker, tickers).filter(F.col("sentiment_date") >= _since(as_of, days))
     out = rows.select("ticker", F.col("sentiment_date").alias("date"), *SENTIMENT_FIELDS)
     return _newest_first(out, ticker, "ticker", "date")
 
 
-def latest_sentiment(daily: DataFrame, ticker: str | None = None) -> DataFrame:
+def latest_sentiment(daily: DataFrame, ticker: str | None = None, tickers: DataFrame | None = None) -> DataFrame:
     """The newest day of one ticker, or of each."""
     rows = daily.select("ticker", F.col("sentiment_date").alias("date"), *SENTIMENT_FIELDS)
     if ticker is not None:
-        return _only(rows, "ticker", _ticker(ticker)).orderBy(F.desc("date")).limit(1)
+        return _of_ticker(rows, ticker, tickers).orderBy(F.desc("date")).limit(1)
     return first_per_key(rows, ["ticker"], [F.desc("date")])
 
 
-def price_history(prices: DataFrame, as_of: str, days: int = 30, ticker: str | None = None) -> DataFrame:
-    rows = _only(prices, "ticker", _ticker(ticker)).filter(F.col("trade_date") >= _since(as_of, days))
+def price_history(
+    prices: DataFrame, as_of: str, days: int = 30, ticker: str | None = None, tickers: DataFrame | None = None
+) -> DataFrame:
+    rows = _of_ticker(prices, ticker, tickers).filter(F.col("trade_date") >= _since(as_of, days))
     out = rows.select("ticker", F.col("trade_date").alias("date"), "close_price", "pct_change", "volume")
     return _newest_first(out, ticker, "ticker", "date")
 
@@ -135,7 +158,7 @@ def latest_correlation(correlations: DataFrame, tickers: DataFrame, ticker: str
         "ticker", "company_name", *CORRELATION_FIELDS
     )
     if ticker is not None:
-        return _only(named, "ticker", _ticker(ticker)).orderBy(F.desc("analysis_date")).limit(1)
+        return _of_ticker(named, ticker, tickers).orderBy(F.desc("analysis_date")).limit(1)
     return first_per_key(named, ["ticker"], [F.desc("analysis_date")])
 
 

@@ -152,6 +152,16 @@ FEED_ITEM = T.StructType(
     + [T.StructField("source", T.StructType([T.StructField(n, T.StringType()) for n in ("_VALUE", "_url")]))]
 )
 
+def _strings(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+ATOM_ENTRY = T.StructType(
+    [T.StructField(n, _strings("_VALUE", "_type")) for n in ("title", "summary", "content")]
+    + _strings("id", "published", "updated").fields
+    + [T.StructField("link", T.ArrayType(_strings("_href", "_rel", "_VALUE"))), T.StructField("author", T.ArrayType(_strings("name")))]
+)
+
 # provider and canonicalUrl arrive either as an object or as a plain string, so
 # they are read as text and opened with JSON path expressions.
 _ARTICLE_BODY = [

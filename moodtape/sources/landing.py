@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moodtape.schemas import ARTICLE, BAR_FILE, FEED_ITEM
+from moodtape.schemas import ARTICLE, ATOM_ENTRY, BAR_FILE, FEED_ITEM
 
 # Fixed value: bar files are named <ticker>_<run date>.csv.
 BAR_FILE_NAME = r"([^/]+)_(\d{4}-\d{2}-\d{2})\.csv[^/]*$"
@@ -102,18 +102,43 @@ def _position() -> list[Column]:
     ]
 
 
+def _xml(spark: SparkSession, path: str, tag: str, schema: T.StructType) -> DataFrame:
+    """Elements of one name.  One that cannot be parsed fails the read, as a broken JSON record does."""
+    return spark.read.format("xml").option("rowTag", tag).option("mode", "FAILFAST").schema(schema).load(path)
+
+
+def _entries(spark: SparkSession, path: str) -> DataFrame:
+    """Atom entries in the columns of feed items: the address is an attribute, the author an element of its own.
+
+    Where an entry has several links the one to the article itself counts (``alternate``, also if not said), else
+    the first; a missing summary is the content.
+    """
+    raw = _xml(spark, path, "entry", ATOM_ENTRY)
+    own = F.filter("link", lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(own, 0), F.get("link", 0))["_href"]
+    text = {c: F.col(f"{c}._VALUE") for c in ("title", "summary", "content")}
+    known = {
+        "title": text["title"],
+        "summary": F.coalesce(F.nullif(text["summary"], F.lit("")), text["content"]),
+        "link": link,
+        "id": F.col("id"),
+        "published": F.col("published"),
+        "updated": F.col("updated"),
+        "author": F.get("author", 0)["name"],
+    }
+    columns = [known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FEED_ITEM.fields]
+    return raw.select(*columns, *_position())
+
+
 def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
-    """Feed items from XML, one row per <item>, with the title of their feed.
+    """Feed items from XML, one row per <item> (RSS) or <entry> (Atom), with the title of their feed.
 
     The file is split at the items, so a large feed is read by many tasks.
     """
-    def xml(tag: str, schema: T.StructType) -> DataFrame:
-        return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
-
-    items = xml("item", FEED_ITEM).select("*", *_position())
+    items = _xml(spark, path, "item", FEED_ITEM).select("*", *_position()).unionByName(_entries(spark, path))
     # A feed's own title is the first of its file; read by that tag, no row holds a whole channel.
     title = T.StructType([T.StructField("_VALUE", T.StringType())])
-    titles = xml("title", title).select("_VALUE", *_position())
+    titles = _xml(spark, path, "title", title).select("_VALUE", *_position())
     first = titles.groupBy("file").agg(F.min_by("_VALUE", F.struct("block", "_nth")).alias("feed_title"))
     return items.join(first, "file", "left")
 
@@ -121,8 +146,7 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
 def read_ticker_feed_items(spark: SparkSession, path: str) -> DataFrame:
     """Items of feeds landed per ticker, in folders ``ticker=…``."""
     schema = T.StructType(FEED_ITEM.fields + [T.StructField("ticker", T.StringType())])
-    items = spark.read.format("xml").option("rowTag", "item").schema(schema).load(path)
-    return items.select("*", *_position())
+    return _xml(spark, path, "item", schema).select("*", *_position())
 
 
 def read_json_articles(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -200,3 +200,42 @@ def test_too_few_prices_stop_the_run(spark, tmp_path):
     with pytest.raises(quality.QualityError, match="price_row_count"):
         daily_run.run_daily(tables, place, RUN, ingest_ts=NOW)
     assert tables.read("sentiment_scored").count() == 0
+
+
+def test_kinds_are_collected_each_for_itself(spark, tmp_path):
+    import dataclasses
+    import shutil
+
+    place = None
+    for d in ("2026-02-17", "2026-02-18"):
+        place = land_everything(tmp_path / "landing", d)
+    place = dataclasses.replace(place, records=str(tmp_path / "records"))
+    shutil.rmtree(f"{place.json_articles}/run_date=2026-02-18")
+    tables = Tables(spark, str(tmp_path / "tables")).create()
+    done = daily_run.backfill(tables, "2026-02-17", "2026-02-19", place, NOW)
+    assert done["not_landed"] == {"2026-02-18": ["json_articles"], "2026-02-19": ["bars", "feeds", "ticker_feeds", "json_articles"]}
+    assert done["left_out"] == ["2026-02-19"]
+    kinds = tables.read("raw_sentiment").groupBy("collected_date", "source").count().collect()
+    assert {(r["collected_date"].day, r["source"]) for r in kinds} == {(17, "news"), (17, "google_news"), (17, "yahoo_finance"), (18, "news"), (18, "google_news")}
+    assert tables.read("price_daily").select("trade_date").distinct().count() >= 2
+    landed = spark.read.json(place.records)
+    assert landed.count() == tables.read("raw_sentiment").count()
+    assert set(articles.RECORD) <= set(landed.columns)
+
+
+def test_unknown_tickers_are_refused(spark, sf):
+    from moodtape.plans import views
+    from moodtape.sources import star
+
+    daily_rows, tickers = star.daily(spark, sf), star.tickers(spark, sf)
+    known = views.sentiment_history(daily_rows, "2024-01-30", ticker="nation_3", tickers=tickers)
+    assert {r["ticker"] for r in known.collect()} == {"NATION_3"}
+    prices, none = star.prices(spark, sf), spark.createDataFrame([], TABLES["sentiment_price_correlation"].schema)
+    for served in (
+        lambda: views.sentiment_history(daily_rows, "2024-01-30", ticker="XX", tickers=tickers),
+        lambda: views.latest_sentiment(daily_rows, "XX", tickers),
+        lambda: views.price_history(prices, "2024-01-30", ticker="XX", tickers=tickers),
+        lambda: views.latest_correlation(none, tickers, "XX"),
+    ):
+        with pytest.raises(views.UnknownTickerError, match="XX"):
+            served()

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from moodtape.dimensions import seed_keywords
 from moodtape.functions.text import clean_html
 from moodtape.operators import articles, scoring
 from moodtape.sources import landing
@@ -80,3 +81,33 @@ def test_failed_batches_are_counted(spark):
 def test_html_without_templates_and_ruby_notes(spark):
     page = "a<template><p>tt</p></template> <ruby>kan<rp>(</rp><rt>ji</rt><rp>)</rp></ruby> b"
     assert spark.range(1).select(clean_html(F.lit(page)).alias("t")).first().t == "a kan b"
+
+
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title type="text">Atom feed</title><id>f</id>
+<link href="http://site/"/><entry><title type="html">Tata &amp;amp; co rise a lot today</title><link rel="self" href="http://x/self"/>
+<link rel="alternate" href="http://x/1"/><id>urn:1</id><updated>2024-01-02T03:04:05Z</updated><author><name>Ann</name></author>
+<summary type="html">&lt;p&gt;Short&lt;/p&gt;</summary></entry><entry><title>Infosys results are out now</title><link href="http://x/2"/>
+<published>Fri, 20 Feb 2026 09:00:00 +0530</published><content type="html"><![CDATA[<b>All</b> of it]]></content></entry></feed>"""
+
+
+def test_atom_entries_beside_feed_items(spark, tmp_path):
+    write(f"{tmp_path}/a.xml", ATOM)
+    write(f"{tmp_path}/b.xml", "<rss><channel><title>Rss feed</title><item><title>Reliance news of the day</title><link>http://y/1</link></item></channel></rss>")
+    items = landing.read_feed_items(spark, str(tmp_path))
+    now = F.lit("2026-03-01 12:00:00").cast("timestamp")
+    got = {r.source_id: r for r in articles.feed_records(items, seed_keywords(spark), F.lit("2026-02-20"), now).collect()}
+    assert set(got) == {"urn:1_TCS", "urn:1_TMCV", "http://x/2_INFY", "http://y/1_RELIANCE"}
+    first, second = got["urn:1_TCS"], got["http://x/2_INFY"]
+    assert first.raw_text.endswith("co rise a lot today Short") and first.author == "Ann" and first.url == "http://x/1"
+    assert second.raw_text == "Infosys results are out now All of it" and second.author == "Atom feed"
+    assert str(second.published_at) == "2026-02-20 03:30:00" or second.published_at.day == 20
+    assert got["http://y/1_RELIANCE"].author == "Rss feed"
+
+
+@pytest.mark.parametrize("broken", ["<item><title>Tata never ends</titl></item>", "<item><title>Tata</title><link>x</item>"])
+def test_broken_feeds_fail_the_read(spark, tmp_path, broken):
+    write(f"{tmp_path}/a.xml", f"<rss><channel><title>F</title><item><title>Good</title></item>{broken}</channel></rss>")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        landing.read_feed_items(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        landing.read_ticker_feed_items(spark, str(tmp_path)).drop("ticker").collect()
