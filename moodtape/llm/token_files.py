@@ -116,17 +116,12 @@ class RunTable:
             return [self._ids(text).tobytes() for text in texts]
         if len(self.known) >= TABLE:
             self.older, self.known = self.known, {}
-        known, new, found = self.known.get, set(), []
-        for text in texts:
-            units = self._units(text)
-            ids = list(map(known, units))
-            missing = None in ids
-            if missing:
-                new.update(unit for unit, i in zip(units, ids) if i is None)
-            found.append((units, None) if missing else (None, b"".join(ids)))
-        self._learn(new)
+        units, new = [self._units(text) for text in texts], set()
+        for of_text in units:
+            new.update(of_text)
+        self._learn(new.difference(self.known))
         known = self.known.__getitem__
-        return [b"".join(map(known, units)) if ids is None else ids for units, ids in found]
+        return [b"".join(map(known, of_text)) for of_text in units]
 
     def _learn(self, new: set[str]) -> None:
         again = new.intersection(self.older)
@@ -134,7 +129,7 @@ class RunTable:
         tokenize, known = self.tokenizer.model.tokenize, self.known
         for run in new.difference(again):
             # Runs are as the tokenizer's own first steps leave them, so its model takes them, with a letter for each byte.
-            raw = run.encode("utf-8", "replace").decode("latin-1").translate(_BYTE_LETTERS)
+            raw = run if run.isascii() else run.encode("utf-8", "replace").decode("latin-1").translate(_BYTE_LETTERS)
             known[run] = array("I", [token.id for token in tokenize(raw)]).tobytes()
 
 
@@ -151,6 +146,8 @@ _BYTE_LETTERS = _byte_letters()
 # The tokenizer's own runs, in lower case: for printable ASCII, and with other letters.
 _ASCII_RUNS = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9]+")
 _LETTER_RUNS = re.compile(r"[^\W\d_]+|[0-9]|'(?:[stmd]|re|ve|ll)|(?:[^\s\w]|_)+")
+_PLAIN = re.compile(r"(?:[a-z]+|[ \n\t]+|[.,](?![.,]))*+")
+_PLAIN_LETTERS = re.compile(r"(?:[^\W\d_]+|[ \n\t]+|[.,](?![.,]))*+")
 _UNSURE = re.compile(r"[\x00-\x08\x0b-\x1f\x7f]|<\|")
 
 
@@ -160,11 +157,20 @@ def _runs(text: str) -> list[str] | None:
     if _UNSURE.search(text):
         return None
     if text.isascii():
-        return _ASCII_RUNS.findall(text.lower())
+        low = text.lower()
+        return _plain_runs(low) if _PLAIN.fullmatch(low) else _ASCII_RUNS.findall(low)
     for c in set(text):
         if c > "\x7f" and not (c.isalpha() and len(c.lower()) == 1 and c.lower().isalpha() and c != "Σ"):
             return None
-    return _LETTER_RUNS.findall(text.lower()) if unicodedata.is_normalized("NFC", text) else None
+    if not unicodedata.is_normalized("NFC", text):
+        return None
+    low = text.lower()
+    return _plain_runs(low) if _PLAIN_LETTERS.fullmatch(low) else _LETTER_RUNS.findall(low)
+
+
+def _plain_runs(text: str) -> list[str]:
+    """Runs of letters with single commas and stops between them: they need no pattern."""
+    return text.replace(",", " , ").replace(".", " . ").split()
 
 
 @lru_cache(1)

@@ -384,3 +384,18 @@ def test_selective_reads_touch_the_columns_and_rows_asked_for(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_runs_are_those_of_the_tokenizer():
+    import random
+
+    from tokenizers import Tokenizer
+
+    words = tokenizer_path("word_bpe_49k.json")
+    table, library = token_files.RunTable(words), Tokenizer.from_file(words)
+    rng = random.Random(10)
+    parts = ["The", "and", "Éa", "ß", "naïve", "don't", "it's", "'", "''", ".", ",", "..", ".,", " ", "  ", "\n", "\t", "\r", "7", "42", "_", "-", "日本", "ﬁ", "İ", "é", "<|endoftext|>", "\x00", " "]
+    plain = ["Word", "other", "éà", ",", ".", " ", "\n"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randrange(0, 25))) for some in (parts, plain) for _ in range(2000)]
+    for text, raw in zip(texts, table.encode_all(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
