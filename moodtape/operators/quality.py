@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moodtape.functions.text import MIN_VALID_TEXT
@@ -100,28 +101,55 @@ def _daily_measures(daily: DataFrame) -> DataFrame:
     )
 
 
+def _result(check: Check, value: Column) -> Column:
+    """The outcome of one check.  A date without rows counts as zero; its mean error is unknown."""
+    if check.rule != "<":
+        value = F.coalesce(value, F.lit(0.0))
+    bound = F.lit(float(check.bound))
+    passed = {">=": value >= bound, "=": value == bound, "<": value < bound}[check.rule]
+    shown = value if check.rule == "<" else value.cast("bigint")
+    message = F.when(value.isNull(), F.lit("no rows")).otherwise(F.format_string(check.message, shown))
+    return F.struct(
+        F.lit(check.name).alias("name"),
+        F.coalesce(passed, F.lit(False)).alias("passed"),
+        F.lit(check.critical).alias("critical"),
+        message.alias("message"),
+        value.alias("value"),
+    )
+
+
 def _results(measures: DataFrame, dates: DataFrame, checks: list[Check]) -> DataFrame:
-    """One row per run date and check.  A date without rows counts as zero; its mean error is unknown."""
+    """One row per run date and check."""
     per_date = dates.join(measures, "run_date", "left")
-    results = []
-    for check in checks:
-        value = F.col(check.measure).cast("double")
-        if check.rule != "<":
-            value = F.coalesce(value, F.lit(0.0))
-        bound = F.lit(float(check.bound))
-        passed = {">=": value >= bound, "=": value == bound, "<": value < bound}[check.rule]
-        shown = value if check.rule == "<" else value.cast("bigint")
-        message = F.when(value.isNull(), F.lit("no rows")).otherwise(F.format_string(check.message, shown))
-        results.append(
-            F.struct(
-                F.lit(check.name).alias("name"),
-                F.coalesce(passed, F.lit(False)).alias("passed"),
-                F.lit(check.critical).alias("critical"),
-                message.alias("message"),
-                value.alias("value"),
-            )
-        )
-    return per_date.select("run_date", F.inline(F.array(*results)))
+    return per_date.select("run_date", F.inline(F.array(*[_result(c, F.col(c.measure).cast("double")) for c in checks])))
+
+
+def found_days_checks(prices: DataFrame, raw: DataFrame, scored: DataFrame | None = None, daily: DataFrame | None = None) -> DataFrame:
+    """All checks for every day from the first to the last that prices or raw articles hold, days without rows included.
+
+    The days come from the measured rows, so no table is read a second time for its days.
+    """
+    parts = {"prices": (_price_measures(prices), PRICE_CHECKS), "raw": (_raw_measures(raw), RAW_CHECKS)}
+    if scored is not None:
+        parts["scored"] = (_scored_measures(scored), SCORED_CHECKS)
+    if daily is not None:
+        parts["daily"] = (_daily_measures(daily), DAILY_CHECKS)
+    rows = [
+        m.select("run_date", F.struct(*[c for c in m.columns if c != "run_date"]).alias(name)) for name, (m, _) in parts.items()
+    ]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    # One row a day from here on.
+    measured = together.groupBy(F.col("run_date").cast("date").alias("run_date")).agg(
+        *[F.first(name, ignorenulls=True).alias(name) for name in parts]
+    )
+    collected = measured.filter(F.col("prices").isNotNull() | F.col("raw").isNotNull())
+    until = F.coalesce(F.date_sub(F.lead("run_date").over(Window.orderBy("run_date")), 1), F.col("run_date"))
+    days = collected.withColumn("until", until).withColumn("day", F.explode(F.sequence("run_date", "until")))
+    there = F.col("day") == F.col("run_date")  # the others are days between, without rows
+    results = [
+        _result(c, F.when(there, F.col(f"{name}.{c.measure}")).cast("double")) for name, (_, checks) in parts.items() for c in checks
+    ]
+    return days.select(F.col("day").alias("run_date"), F.inline(F.array(*results)))
 
 
 def price_checks(prices: DataFrame, dates: DataFrame) -> DataFrame:

@@ -211,15 +211,8 @@ def source_totals(spark, d):
 # --- quality -------------------------------------------------------------------------
 
 
-def _all_checks(spark, d):
-    prices, raw = star.prices(spark, d), star.raw_articles(spark, d)
-    days = _days_of((prices, "trade_date"), (raw, "collected_date"))
-    return quality.all_checks(prices, raw, star.scored_articles(spark, d), star.daily(spark, d), days)
-
-
 def quality_collection(spark, d):
-    prices, raw = star.prices(spark, d), star.raw_articles(spark, d)
-    return quality.collection_checks(prices, raw, _days_of((prices, "trade_date"), (raw, "collected_date")))
+    return quality.found_days_checks(star.prices(spark, d), star.raw_articles(spark, d))
 
 
 def quality_scoring(spark, d):
@@ -230,7 +223,8 @@ def quality_scoring(spark, d):
 
 
 def quality_report(spark, d):
-    return quality.report(_all_checks(spark, d))
+    tables = [star.prices(spark, d), star.raw_articles(spark, d), star.scored_articles(spark, d), star.daily(spark, d)]
+    return quality.report(quality.found_days_checks(*tables))
 
 
 def publish_gate(spark, d):

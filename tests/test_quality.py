@@ -2,7 +2,10 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from moodtape.operators import quality
+from tests.conftest import rows
 
 DAY = dt.date(2026, 1, 5)
 
@@ -124,3 +127,20 @@ def test_report_per_date(spark):
 def test_publish_gate(spark, sizes, stale, ok):
     df = spark.createDataFrame([(n,) for n in sizes], "sample_size int")
     assert tuple(quality.publish_gate(df).first()) == (stale, ok)
+
+
+def test_found_days_equal_given_days(spark):
+    prices = spark.createDataFrame(
+        [("A", "2024-01-01", 1.0, 50.0), ("B", "2024-01-04", None, 1.0), ("B", "2024-01-04", -1.0, None)],
+        "ticker string, trade_date string, close_price double, pct_change double",
+    ).withColumn("trade_date", F.to_date("trade_date"))
+    raw = spark.createDataFrame(
+        [("news", "A", "2024-01-03", "short"), ("news", "B", "2024-01-06", "long enough text")],
+        "source string, ticker string, collected_date string, raw_text string",
+    ).withColumn("collected_date", F.to_date("collected_date"))
+    daily = spark.createDataFrame([("A", "2024-01-03", 2.0), ("A", "2024-01-09", 0.0)], "ticker string, sentiment_date string, avg_sentiment_score double")
+    daily = daily.withColumn("sentiment_date", F.to_date("sentiment_date"))
+    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-01-06')) AS run_date")
+    expected = quality.collection_checks(prices, raw, days).unionByName(quality.daily_checks(daily, days))
+    assert rows(quality.found_days_checks(prices, raw, daily=daily)) == rows(expected)
+    assert quality.found_days_checks(prices.limit(0), raw.limit(0)).count() == 0
