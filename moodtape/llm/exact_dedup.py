@@ -26,6 +26,17 @@ def _digest(text):
     return F.unhex(F.sha2(without_blanks(text).cast("binary"), 256))
 
 
+def _second_hash(text):
+    bare = without_blanks(text)
+    return F.xxhash64(bare, F.char_length(bare))
+
+
+def _verified(value, low: str, high: str):
+    """The value, unless the texts behind one digest differ."""
+    clash = F.raise_error(F.concat(F.lit("one digest for different texts: "), F.hex("digest"))).cast("long")
+    return F.when(F.col(low) == F.col(high), value).otherwise(clash)
+
+
 def _runs(docs: DataFrame) -> DataFrame:
     """One sorted run of digests for each input partition."""
     text = whole_text()
@@ -33,6 +44,7 @@ def _runs(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("doc_id"),
         F.char_length(text).cast("long").alias("chars"),
         _digest(text).alias("digest"),
+        _second_hash(text).alias("second"),
         F.spark_partition_id().alias("run"),
     )
     return staged(rows.sortWithinPartitions("digest"), "digest-runs")
@@ -45,6 +57,8 @@ def _merge_runs(runs: DataFrame, fan: int) -> DataFrame:
         "digest",
         F.struct((-F.col("chars")).alias("shorter"), F.col("doc_id").isNull().alias("nameless"), "doc_id").alias("best"),
         F.lit(1).cast("long").alias("rows"),
+        F.col("second").alias("low"),
+        F.col("second").alias("high"),
     )
     left = (runs.agg(F.max("run")).first()[0] or 0) + 1
     while True:
@@ -52,7 +66,8 @@ def _merge_runs(runs: DataFrame, fan: int) -> DataFrame:
         best = (
             best.withColumn("run", F.floor(F.col("run") / fan).cast("int"))
             .groupBy("run", "digest")
-            .agg(F.min("best").alias("best"), F.sum("rows").alias("rows"))
+            .agg(F.min("best").alias("best"), F.sum("rows").alias("rows"), F.min("low").alias("low"), F.max("high").alias("high"))
+            .withColumn("rows", _verified(F.col("rows"), "low", "high"))
         )
         if left == 1:
             return best.select("digest", F.col("best.doc_id").alias("keep_id"), F.col("rows").alias("group_size"))
@@ -66,7 +81,7 @@ def _groups(runs: DataFrame, fan: int) -> DataFrame:
 def mark_copies(docs: DataFrame, fan: int = FAN) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
     runs = _runs(docs)
-    joined = runs.drop("run").join(_groups(runs, fan), "digest", "left")
+    joined = runs.drop("run", "second").join(_groups(runs, fan), "digest", "left")
     single = F.col("group_size").isNull()
     keep = F.when(single, F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(

@@ -399,3 +399,10 @@ def test_runs_are_those_of_the_tokenizer():
     texts = ["".join(rng.choice(some) for _ in range(rng.randrange(0, 25))) for some in (parts, plain) for _ in range(2000)]
     for text, raw in zip(texts, table.encode_all(texts)):
         assert np.frombuffer(raw, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_digest_of_two_texts_fails_the_job(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(10)], "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(exact_dedup, "_digest", lambda text: F.unhex(F.lit("00")))
+    with pytest.raises(Exception, match="one digest for different texts"):
+        exact_dedup.mark_copies(docs).collect()
