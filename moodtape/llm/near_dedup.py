@@ -41,7 +41,7 @@ WORDS, PERCENT = 5, 80
 FUNCTIONS, BUCKETS, BAND_ROWS, MANTISSA_BITS = 8, 32, 5, 10
 REGISTERS = FUNCTIONS * BUCKETS
 BANDS = REGISTERS // BAND_ROWS
-CROWD, BLOCK = 64, 1024
+CROWD, BLOCK, SALTS = 64, 1024, 64
 PIECE = 1 << 16
 
 _U = np.uint64
@@ -278,7 +278,10 @@ def _region_links(labelled: DataFrame, crowded: DataFrame, nodes: DataFrame, doc
     stats = sizes.groupBy("region").agg(F.sum("size").alias("nodes"), top.alias("major"))
     minor = sizes.join(stats, "region").where("component <> major").groupBy("region").agg(F.sum("size").alias("minors"))
     stats = stats.join(minor, "region")  # a region that is one component has nothing to compare
-    inside = staged(inside.join(stats, "region"), "regions")
+    # A region may hold most rows: its nodes are dealt over SALTS keys, each with a copy of the region's few figures.
+    dealt = inside.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    every_salt = stats.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    inside = staged(dealt.join(every_salt, ["region", "salt"]).drop("salt"), "regions")
     sets = _full_sets(docs, inside.select("node").distinct(), nodes, words)
     full = staged(inside.join(sets, "node"), "region-sets")
     across, down = F.ceil(F.col("nodes") / BLOCK).cast("int"), F.ceil(F.col("minors") / BLOCK).cast("int")
