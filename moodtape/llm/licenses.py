@@ -68,6 +68,36 @@ _MPL = (
     "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
 )
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_BOOST = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and '
+    "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is "
+    "furnished to do so"
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for "
+    "any damages arising from the use of this software."
+)
+_EPL = (
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+    "available at https://www.eclipse.org/legal/epl-2.0/"
+)
+# Licences named by a tag in source files; what a tag says of later versions makes no other licence.
+_TAGGED = (
+    "0BSD AGPL-3.0 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 EPL-2.0 GPL-2.0 GPL-3.0 "
+    "ISC LGPL-2.1 LGPL-3.0 MIT MPL-2.0 Unlicense WTFPL Zlib"
+).split()
+
 # Public licence texts, notices and usual short statements.
 TEMPLATES = [
     ("MIT", _MIT),
@@ -92,6 +122,17 @@ TEMPLATES = [
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("BSD-2-Clause", _BSD),
+    ("BSD-3-Clause", _BSD_NAMES),
+    ("BSL-1.0", _BOOST),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", _ZLIB),
+    ("EPL-2.0", _EPL),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("GPL-2.0", "Licensed under GPLv2"),
+    ("GPL-3.0", "Licensed under GPLv3"),
+    *((name, f"License-Identifier: {name}") for name in _TAGGED),
 ]
 
 #: Words of the templates that many texts hold; texts are told by others first.

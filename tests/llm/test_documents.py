@@ -406,3 +406,21 @@ def test_a_digest_of_two_texts_fails_the_job(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup, "_digest", lambda text: F.unhex(F.lit("00")))
     with pytest.raises(Exception, match="one digest for different texts"):
         exact_dedup.mark_copies(docs).collect()
+
+
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        (licenses._BSD, "BSD-2-Clause"),
+        ("Intro words.\n\n" + licenses._BSD_NAMES + "\n\nmore", "BSD-3-Clause"),
+        ("# SPDX-License-Identifier: MIT\nimport os", "MIT"),
+        ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"),
+        ("This is free and unencumbered software released into the public domain.\nAnyone is free to copy", "Unlicense"),
+        ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0"),
+        ("all of it is licensed under GPLv3 since then", "GPL-3.0"),
+        ("Mozilla Public License Version 2.0", "MPL-2.0"),
+    ],
+)
+def test_more_licences(spark, text, name):
+    found = licenses.find_licenses(spark.createDataFrame([(1, text), (2, "plain words of a text")], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.license) for r in found] == [(1, name)]
