@@ -78,6 +78,7 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.files = Files(spark)
+        self._staged: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].name}"
@@ -170,11 +171,18 @@ class Tables:
     def _stage(self, df: DataFrame, table: Table, label: str, more: str = "") -> tuple[DataFrame, int]:
         """Write rows that are used more than once to the shared folder; also their number."""
         path = work_path(self.spark, f"{label}-{table.name}")
+        self._staged.append(path)
         counted, seen = _counted(df)
         counted.write.parquet(path)
         schema = T.StructType([*table.schema.fields, *(T.StructType.fromDDL(more).fields if more else [])])
         return self.spark.read.schema(schema).parquet(path), seen()
 
+    def _unstage(self, written: int) -> int:
+        """Remove staged rows that have been written, and pass on how many were."""
+        while self._staged:
+            self.files.delete(self._staged.pop())
+        return written
+
     def _on_days_of(self, incoming: DataFrame, stored: DataFrame, table: Table) -> DataFrame:
         """Stored rows on the days that come in.  As literals the days prune partitions at the scan;
         there are as many as the calendar has, not as the data has rows."""
@@ -210,11 +218,11 @@ class Tables:
         self._settle(table)
         staged, _ = self._stage(first_per_full_key(given, table.key, order), table, "insert")
         if _indexed(table):
-            return self._insert_by_index(staged, table)
+            return self._unstage(self._insert_by_index(staged, table))
         stored = self.read(name)
         if table.day in table.key:
             stored = self._on_days_of(staged, stored, table)
-        return self._write(not_stored(staged, stored, table.key), table)
+        return self._unstage(self._write(not_stored(staged, stored, table.key), table))
 
     def _insert_by_index(self, staged: DataFrame, table: Table) -> int:
         """Insert against the index of keys; the stored rows are not read."""
@@ -252,7 +260,7 @@ class Tables:
         self._write(replaced(stored, incoming, keys), table, beside)
         self._commit(beside)
         self._settle(table)
-        return seen
+        return self._unstage(seen)
 
     def _commit(self, beside: str) -> None:
         self.files.mark(f"{beside}{COMMITTED}")
