@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from moodtape.llm.common import staged, whole_text, without_blanks
+from moodtape.llm.common import may_be_among, staged, whole_text, without_blanks
 
 FAN = 16
 
@@ -99,8 +99,11 @@ def drop_copies(docs: DataFrame, fan: int = FAN) -> DataFrame:
     runs = _runs(docs)
     groups = _groups(runs, fan)
     marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), _digest(whole_text()).alias("digest"))
+    # Texts that surely have no copy stay where they are; only the others are shuffled.
+    shared = may_be_among(F.col("digest"), groups.select("digest"))
     single = F.col("group_size").isNull()
-    kept = marked.join(groups, "digest", "left").where(single | F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
+    joined = marked.where(shared).join(groups, "digest", "left").where(single | F.col("row.doc_id").eqNullSafe(F.col("keep_id")))
+    kept = marked.where(~shared).unionByName(joined.select("row", "digest"))
     repeated = staged(runs.groupBy("digest", "doc_id").agg(F.count("*").alias("rows")).where("rows > 1"), "digest-repeats")
     if not repeated.isEmpty():
         again = repeated.select(F.col("digest").alias("again"), F.col("doc_id").alias("again_id"))

@@ -355,4 +355,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that are their component's smallest doc_id, with all their columns."""
     gone = staged(near_duplicates(docs, words, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    # Only texts that may have to go are shuffled.
+    wide = docs["doc_id"].cast("long")
+    dropped = F.coalesce(may_be_among(wide, gone), F.lit(False))
+    return docs.where(~dropped).unionByName(docs.where(dropped).join(gone, wide == gone["gone"], "left_anti"))
