@@ -19,6 +19,10 @@ SPACE = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 
+_SPACES = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
 # Lengths, in characters, that decide what is kept.
 MIN_FEED_TEXT = 20
 MIN_TICKER_TEXT = 15
@@ -31,8 +35,8 @@ DROPPED_PATTERN = rf"[^{WORD}%.,!?₹$\-]+"
 
 
 def strip_blank(c: ColumnLike) -> Column:
-    """Trim every kind of Unicode blank from both ends."""
-    return F.regexp_replace(as_col(c), rf"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Trim every kind of Unicode blank from both ends; a pattern would be tried at every character between them."""
+    return F.btrim(as_col(c), F.lit(_SPACES))
 
 
 def clean_text(c: ColumnLike) -> Column:
@@ -78,16 +82,17 @@ def source_id(article_id: ColumnLike, url: ColumnLike, ticker: ColumnLike) -> Co
 
 # What separates two text nodes: script, style and template blocks and ruby
 # annotations with their content, comments, declarations, and tags (a quoted
-# attribute may hold a '>').
+# attribute may hold a '>').  The '<' stands before the choice, so all other
+# characters are passed over after one comparison.
 _MARKUP = (
-    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)"
-    r"|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-    r"|<template\b[^>]*>.*?(?:</template\s*>|\z)"
-    r"|<rt\b[^>]*>.*?(?:</rt\s*>|(?=<rp\b|</ruby)|\z)"
-    r"|<rp\b[^>]*>.*?(?:</rp\s*>|(?=<rt\b|</ruby)|\z)"
-    r"|<!--.*?(?:-->|\z)"
-    r"|<[!?][^>]*>"
-    r"""|</?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+>"""
+    r"(?is)<(?:script\b[^>]*>.*?(?:</script\s*>|\z)"
+    r"|style\b[^>]*>.*?(?:</style\s*>|\z)"
+    r"|template\b[^>]*>.*?(?:</template\s*>|\z)"
+    r"|rt\b[^>]*>.*?(?:</rt\s*>|(?=<rp\b|</ruby)|\z)"
+    r"|rp\b[^>]*>.*?(?:</rp\s*>|(?=<rt\b|</ruby)|\z)"
+    r"|!--.*?(?:-->|\z)"
+    r"|[!?][^>]*>"
+    r"""|/?[a-z][^>=]*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|)[^>=]*+)*+>)"""
 )
 _REFERENCE_OR_TEXT = (
     r"(&#[0-9]+;?|&#[xX][0-9a-fA-F]+;?|&[a-zA-Z][-.a-zA-Z0-9]*;?|[^&]+|&)"

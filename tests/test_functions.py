@@ -264,3 +264,15 @@ def test_fallback_date(spark):
     got = one(spark, dates.first_date([dates.parse_rfc822(F.lit("x")), dates.parse_rfc822(F.lit("5 Jan 2026 1:02:03"))], now))
     assert got == dt.datetime(2026, 1, 5, 1, 2, 3)
     assert one(spark, dates.first_date([dates.parse_rfc822(F.lit("x"))], now)) == dt.datetime(2026, 3, 1)
+
+
+def test_outer_blanks_of_every_kind_go(spark):
+    every = [chr(c) for c in range(0x3100) if re.fullmatch(r"\s", chr(c))]
+    assert set(text._SPACES) == set(every)
+    given = ["", " ", "a", *every, *[f"{b}a{b}b{b}{b}\n" for b in every], "a\u200b", "\u200ba", None]
+    assert column(spark, given, "string", text.strip_blank) == [g if g is None else g.strip("".join(every)) for g in given]
+
+
+def test_markup_begins_with_one_character(spark):
+    # every branch is tried only where a tag may begin
+    assert text._MARKUP.startswith("(?is)<(?:") and text._MARKUP.endswith(")")
