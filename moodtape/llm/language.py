@@ -27,12 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moodtape.llm.common import staged
+
 UNKNOWN = "und"
 FEATURES = 4096
 PER_LANGUAGE = 400
 SAMPLE_ROWS = 24 * PER_LANGUAGE
 FAMILY_SIZE = 16
 LIMIT_QUANTILE, LIMIT_PART = 0.005, 0.3
+#: A language's weight of 1 in whole numbers, whose sums are the same in any order; parts of a range; rows to sort at once.
+WEIGHT, PARTS, FEW = 1 << 20, 512, 4096
 PIECE = 1 << 20
 FEATURE_ROWS = 256
 
@@ -142,17 +146,27 @@ def families(languages: list[str]) -> dict[str, str]:
     return out
 
 
+def usable(docs: DataFrame) -> DataFrame:
+    """The rows with a label, a text and a doc_id."""
+    return docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+
+
+def texts_of_each(languages: int, per_language: int, sample_rows: int) -> int:
+    """How many texts a language counts for at most."""
+    return max(1, min(per_language, sample_rows // max(1, languages)))
+
+
 def training_sample(docs: DataFrame, per_language: int, sample_rows: int) -> DataFrame:
     """doc_id, lang, text of labelled rows of every language, drawn by a hash of the doc_id, one a doc_id."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
+    labelled = usable(docs)
     ticks = 1 << 30
     draw = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(ticks))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("first")).collect()
-    each = max(1, min(per_language, sample_rows // max(1, len(sizes))))
+    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("first")).collect()
+    each = texts_of_each(len(sizes), per_language, sample_rows)
     # a language's first row is always drawn
     most = [(r["lang"], max(int(ticks * each / r["n"]), r["first"] + 1)) for r in sizes]
     shares = docs.sparkSession.createDataFrame(most, "lang string, most long")
-    drawn = usable.select("doc_id", "lang", "text").join(F.broadcast(shares), "lang").where(draw < F.col("most"))
+    drawn = labelled.select("doc_id", "lang", "text").join(F.broadcast(shares), "lang").where(draw < F.col("most"))
     return drawn.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 
@@ -182,11 +196,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample_rows: int = SA
 
 
 def with_limits(model: LanguageModel, docs: DataFrame) -> LanguageModel:
-    """The model with margin limits from labelled ``docs`` it has not learned from.
+    """The model with margin limits from all labelled ``docs``, which it has not learned from.
 
-    A limit is ``LIMIT_PART`` of the margin that all but ``LIMIT_QUANTILE`` of a sample's rightly told texts exceed.
+    A limit is ``LIMIT_PART`` of the margin that all but ``LIMIT_QUANTILE`` of the rightly told texts exceed.
     Learned languages stay well above it, short texts included, while texts in other languages, encoded data, code and
-    letter noise win by chance and by little.  Without such texts there are no limits.
+    letter noise win by chance and by little.  Every text is judged; the texts of a common language weigh less, so that
+    it counts as much as ``PER_LANGUAGE`` of them and a rare one still has its say.  A row that repeats counts once.
+    Without such texts there are no limits.  The driver gets a row per language, and few of each margin.
     """
 
     @F.pandas_udf("lang string, far double, farther double")
@@ -194,15 +210,49 @@ def with_limits(model: LanguageModel, docs: DataFrame) -> LanguageModel:
         made = [model.judge(t) for t in texts]
         return pd.DataFrame([(m[0], m[2], m[3]) for m in made], columns=["lang", "far", "farther"])
 
-    sample = training_sample(docs, PER_LANGUAGE, SAMPLE_ROWS).select("lang", judged("text").alias("guess"))
-    rows = sample.where(F.col("guess.lang") == F.col("lang")).select("guess.far", "guess.farther").collect()
+    told = usable(docs).select("doc_id", "lang", judged("text").alias("guess"))
+    told = staged(told.select("doc_id", "lang", (F.col("guess.lang") == F.col("lang")).alias("right"), "guess.far", "guess.farther"), "margins")
+    sizes = told.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    each = texts_of_each(len(sizes), PER_LANGUAGE, SAMPLE_ROWS)
+    weights = [(r["lang"], max(1, WEIGHT * min(each, r["n"]) // r["n"])) for r in sizes]
+    shares = docs.sparkSession.createDataFrame(weights, "lang string, weight long")
+    told = staged(told.where("right").distinct().join(F.broadcast(shares), "lang").select("far", "farther", "weight"), "margins")
 
-    def limit(margins: list[float]) -> float:
-        margins = [m for m in margins if np.isfinite(m)]
-        low = float(np.quantile(margins, LIMIT_QUANTILE)) if margins else -np.inf
+    def limit(column: str) -> float:
+        low = low_margin(told.select(F.col(column).alias("m"), "weight"))
         return min(low, LIMIT_PART * low)
 
-    return LanguageModel(model.families, model.members, (limit([r["far"] for r in rows]), limit([r["farther"] for r in rows])))
+    return LanguageModel(model.families, model.members, (limit("far"), limit("farther")))
+
+
+def low_margin(margins: DataFrame, quantile: float = LIMIT_QUANTILE) -> float:
+    """The quantile of the finite margins (m, weight), exact: between the two next to its place, as numpy does it."""
+    margins = margins.where(F.abs("m") < np.inf)
+    least, most, total = margins.agg(F.min("m"), F.max("m"), F.sum("weight")).first()
+    if total is None:
+        return -np.inf
+    place = max(0.0, quantile * (total / WEIGHT - 1))
+    ends = [_margin_at(margins, least, most, min(k * WEIGHT, total - 1)) for k in (int(place), int(place) + 1)]
+    return float(np.quantile(ends, place - int(place)))
+
+
+def _margin_at(margins: DataFrame, least: float, most: float, place: int) -> float:
+    """The margin below which, in their order, lies a weight of ``place``; found by narrowing its range to few rows."""
+    before = 0
+    while least < most:
+        inside = margins.where(F.col("m").between(least, most))
+        part = F.least(F.floor((F.col("m") - least) / (most - least) * PARTS), F.lit(PARTS - 1))
+        parts = inside.groupBy(part.alias("part")).agg(F.sum("weight"), F.count("*"), F.min("m"), F.max("m")).collect()
+        for _, weight, n, least, most in sorted(parts):  # noqa: B007
+            if before + weight > place:
+                break
+            before += weight
+        if n <= FEW:
+            for m, weight in sorted(margins.where(F.col("m").between(least, most)).collect()):
+                before += weight
+                if before > place:
+                    return m
+    return least
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

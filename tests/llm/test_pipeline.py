@@ -1,14 +1,18 @@
 """The whole pipeline against a plain version of every stage after the first."""
 
 import random
+import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
+import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from moodtape.llm import catalog
+from moodtape.llm import catalog, language
 from moodtape.llm.common import tokenizer_path
 from tests.llm.brute import near_components
 from tests.llm.conftest import BLANKS
@@ -72,3 +76,49 @@ def test_run_equals_plain_stages(spark, tmp_path):
 def test_run_on_an_empty_table(spark, none, tmp_path):
     none.write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 3000])
+def test_low_margin_is_the_exact_quantile(spark, n):
+    rng = random.Random(n)
+    values = [rng.choice([rng.gauss(1, 2), 0.25]) for _ in range(n)]
+    rows = spark.createDataFrame([(v, language.WEIGHT) for v in [*values, np.inf]], "m double, weight long")
+    for q in (0.0, 0.005, 0.3, 1.0):
+        assert language.low_margin(rows, q) == np.quantile(values, q)
+    many = rows.withColumn("m", F.explode(F.array(*[F.col("m")] * 2))).repartition(5)
+    assert language.low_margin(many, 0.3) == np.quantile(values * 2, 0.3)
+
+
+def test_limits_come_from_all_held_out_texts(spark):
+    words = {"en": "the house was there with them and that", "fr": "les maisons sont pour nous avec une"}
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(words[x].split(), k=rng.randrange(1, 9))), x) for k in range(3000) for x in [rng.choice(["en", "fr"])]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.fit(docs.where(~language.held_out()))
+    limits = language.with_limits(model, docs.where(language.held_out())).limits
+    judged = [(*model.judge(t), x) for i, t, x in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    each = {x: min(1, language.PER_LANGUAGE / sum(y == x for *_, y in judged)) for x in words}
+    assert min(each.values()) < 1
+    right = sorted((m, each[x]) for told, _, m, _, x in judged if told == x)
+    place, below = language.LIMIT_QUANTILE * (sum(w for _, w in right) - 1), 0
+    ends = []
+    for k in (int(place), int(place) + 1):
+        below = 0
+        for m, w in right:
+            below += w
+            if below > k + 1e-3:
+                ends.append(m)
+                break
+    low = np.quantile(ends, place - int(place))
+    assert limits[0] == pytest.approx(min(low, language.LIMIT_PART * low), rel=1e-4)
+
+
+def test_batches_of_the_pipeline_are_small(spark):
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+    try:
+        for given, expect in (("10000", "500"), ("0", "500"), ("20", "20")):
+            spark.conf.set(corpus_pipeline.BATCH_SETTING, given)
+            corpus_pipeline.small_batches(spark)
+            assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == expect
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
