@@ -135,3 +135,25 @@ def test_texts_are_never_the_built_side(spark, sf):
         assert "BuildLeft" not in plan
         assert ("BroadcastHashJoin" in plan) == (built is not None)
         assert "SortMergeJoin" in plan
+
+
+def test_only_grams_that_may_be_keywords_are_joined(spark, tmp_path):
+    long = [f"extraordinary{i}" for i in range(40)]
+    texts = [(i, " ".join([f"w{i}x{k}" for k in range(200)] + long[i % 40 : i % 40 + 2])) for i in range(50)]
+    df = spark.createDataFrame(texts, "id int, raw_text string")
+    keywords = spark.createDataFrame([(f"T{i}", w) for i, w in enumerate(long)], "ticker string, keyword string")
+    found = matching.with_tickers(df, keywords, in_place=0, broadcast_bytes=0)
+    assert {(r.id, r.ticker) for r in found.collect()} == {(i, f"T{k}") for i, _ in texts for k in (i % 40, i % 40 + 1) if k < 40}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "{14,15}+" in plan  # the 200 short words of a text go where they are found
+
+
+@pytest.mark.parametrize("limits", [{}, {"in_place": 0}, {"in_place": 0, "broadcast_bytes": 0}])
+def test_runs_are_as_long_as_those_of_the_keywords(spark, limits):
+    texts = [(i, t) for i, t in enumerate(["abcd", "abc", "xabc", "abc-x", "ab", "a&b", "xa&b", "a&bc", "abcdef & abc", "é", "éé", "--", "x--x", "x-x"])]
+    pairs = [("A", "abc"), ("B", "a&b"), ("C", "éé"), ("D", "--"), ("E", "abcdef & abc")]
+    df = spark.createDataFrame(texts, "id int, raw_text string")
+    for some in (pairs, pairs[:1], pairs[1:2], pairs[3:4], pairs[4:]):
+        keywords = spark.createDataFrame(some, "ticker string, keyword string")
+        got = matching.with_tickers(df, keywords, **limits).select("id", "ticker").collect()
+        assert {tuple(r) for r in got} == by_regex(texts, some)
