@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from moodtape.session import work_path
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of each key in the given order, one row per key.
@@ -19,6 +21,53 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return ranked.filter("_rank = 1").drop("_rank")
 
 
+def may_be_among(column: Column, keys: DataFrame, bits_a_key: int = 12, most_bits: int = 1 << 25) -> Column:
+    """False only for values that ``keys`` (one column) does not hold: a Bloom filter of bounded size.
+
+    It keeps rows from a shuffle that a semi-join would drop after it; with more keys than its bits can tell apart it
+    lets everything through, so the semi-join must follow.  Spark makes it once, as an array of 64-bit words.
+    """
+    spark, key = keys.sparkSession, keys.columns[0]
+    bits = 64
+    wanted = bits_a_key * keys.count()
+    while bits < min(wanted, most_bits):
+        bits *= 2
+
+    def places(value: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(k), value), F.lit(bits)) for k in range(3)]
+
+    set_bits = keys.select(F.explode(F.array(*places(F.col(key)))).alias("at"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
+    words = set_bits.groupBy(F.floor(F.col("at") / 64).alias("id")).agg(F.bit_or(one).alias("word"))
+    every = spark.range(bits // 64).join(words, "id", "left").select("id", F.coalesce("word", F.lit(0).cast("long")).alias("word"))
+    table = every.agg(F.sort_array(F.collect_list(F.struct("id", "word"))).alias("words")).select("words.word").scalar()
+    held = F.lit(True)
+    for at in places(column):
+        held = held & (F.getbit(F.element_at(table, (F.floor(at / 64) + 1).cast("int")), (at % 64).cast("int")) == 1)
+    return held
+
+
+def first_of_few(
+    df: DataFrame, key: Column, rows: Callable[[DataFrame], DataFrame], keys: Sequence[str], order: Sequence[Column | str]
+) -> DataFrame:
+    """As ``first_per_key`` over ``rows(df)``, where wide rows with a key of their own are not shuffled.
+
+    ``rows`` makes the rows of each input row from that row alone.  ``key`` is taken from the input rows: those whose
+    ``key`` differs never have the same ``keys``, nor does one input row make two rows with the same.  The inputs are
+    read for it first, and what is shuffled then is one hash each; the hashes that occur more than once are stored, and
+    only rows whose hash may be one of them go on to meet each other.
+    """
+    spark, hashed = df.sparkSession, F.xxhash64(key)
+    path = work_path(spark, "repeated-keys")
+    counted = df.select(hashed.alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+    counted.filter("rows > 1").select("key").write.parquet(path)
+    repeated = spark.read.schema("key bigint").parquet(path)
+    if repeated.isEmpty():
+        return rows(df)
+    again = may_be_among(hashed, repeated)
+    return rows(df.filter(~again)).unionByName(first_per_key(rows(df.filter(again)), keys, order))
+
+
 def first_by_unique(df: DataFrame, keys: Sequence[str], unique: str) -> DataFrame:
     """As ``first_per_key`` where one column orders the rows and is unique.
 

@@ -13,7 +13,7 @@ from moodtape.functions.numeric import round_half_up
 from moodtape.functions.text import WORD, clean_html, clean_text, clean_text_rows
 from moodtape.operators import articles, bars, correlation, daily, dedup, matching, quality, scoring
 from moodtape.plans import views
-from moodtape.session import work_path
+from moodtape.session import shuffles_dropped, work_path
 from moodtape.sources import landing, star
 from moodtape.sources.tables import Tables
 from moodtape.streaming import articles as streams
@@ -420,8 +420,10 @@ def article_json(spark, d):
     docs = _landed_documents(spark, d)
     nested = docs.filter("lang = 'en'").select("ticker", F.concat(F.lit("a"), "doc_id").alias("id"), F.struct(*body).alias("content"))
     flat = docs.filter("NOT lang <=> 'en'").select("ticker", *body)
-    for part in (nested, flat):
-        part.hint("rebalance", "ticker").write.mode("append").partitionBy("ticker").json(path)
+    with shuffles_dropped(spark):
+        for part in (nested, flat):
+            out = landing.packed_files(part.hint("rebalance", "ticker").write).mode("append")
+            out.partitionBy("ticker").json(path)
     records = articles.json_records(landing.read_json_articles(spark, path), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS)))
     return records.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
 
@@ -445,7 +447,7 @@ def feed_news(spark, d):
     """Documents landed as general feeds, then matched to every ticker they mention."""
     path = work_path(spark, "news")
     items = _feed_items(spark, d).withColumnRenamed("source", "author").drop("ticker")
-    out = items.write.format("xml")
+    out = landing.packed_files(items.write).format("xml")
     out.option("rootTag", "channel").option("rowTag", "item").save(path)
     records = articles.feed_records(
         landing.read_feed_items(spark, path), star.keywords(spark), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS))
@@ -457,8 +459,9 @@ def feed_xml(spark, d):
     """Documents landed as feed items per ticker, then read as records."""
     path = work_path(spark, "feeds")
     items = _feed_items(spark, d).drop("source")
-    out = items.hint("rebalance", "ticker").write.partitionBy("ticker").format("xml")
-    out.option("rootTag", "rss").option("rowTag", "item").save(path)
+    out = landing.packed_files(items.hint("rebalance", "ticker").write).partitionBy("ticker").format("xml")
+    with shuffles_dropped(spark):
+        out.option("rootTag", "rss").option("rowTag", "item").save(path)
     records = articles.ticker_feed_records(
         landing.read_ticker_feed_items(spark, path), F.lit(AS_OF), F.to_timestamp(F.lit(INGEST_TS))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,8 @@ from moodtape.schemas import ARTICLE, ATOM_ENTRY, BAR_FILE, FEED_ITEM
 
 # Fixed value: bar files are named <ticker>_<run date>.csv.
 BAR_FILE_NAME = r"([^/]+)_(\d{4}-\d{2}-\d{2})\.csv[^/]*$"
+#: Most rows of a compressed file.
+PACKED_ROWS = 100_000
 
 
 def snake_names(df: DataFrame) -> DataFrame:
@@ -90,6 +92,14 @@ def write_bar_files(bars: DataFrame, path: str) -> None:
     out.write.mode("append").partitionBy("run_date", "ticker").option("header", True).csv(path)
 
 
+def packed_files(writer: DataFrameWriter) -> DataFrameWriter:
+    """Texts compressed, the quick way, as they are landed whole.
+
+    Such files do not split, so none gets more rows than one task can well read.
+    """
+    return writer.options(compression="gzip", maxRecordsPerFile=PACKED_ROWS, **{"zlib.compress.level": "BEST_SPEED"})
+
+
 def _position() -> list[Column]:
     """Where a row was read from, and its number within the read block: the feed order.
 
@@ -140,7 +150,8 @@ def read_feed_items(spark: SparkSession, path: str) -> DataFrame:
     title = T.StructType([T.StructField("_VALUE", T.StringType())])
     titles = _xml(spark, path, "title", title).select("_VALUE", *_position())
     first = titles.groupBy("file").agg(F.min_by("_VALUE", F.struct("block", "_nth")).alias("feed_title"))
-    return items.join(first, "file", "left")
+    # One row a file, which the scan lists anyway: sent to the items, which else would all be shuffled to their file's row.
+    return items.join(first.hint("broadcast"), "file", "left")
 
 
 def read_ticker_feed_items(spark: SparkSession, path: str) -> DataFrame:
